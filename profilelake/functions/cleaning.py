@@ -1,8 +1,5 @@
 """Cleaning of raw instrument values."""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from profilelake.schema import BGC_PARAMS, CORE_PARAMS
 
 # Fill markers of the raw files, and the day count's origin.
@@ -12,114 +9,118 @@ EPOCH = "1950-01-01"
 
 # days from the epoch to 0001-01-01 and to 9999-12-31
 _FIRST_DAY, _LAST_DAY = -711857, 2940201
-# every character the stripping of text removes: NUL and all Unicode blanks
+# every character the stripping of text removes: blanks of ASCII and Unicode, and NUL
 _STRIPPED = (
-    " \x00\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
-    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+    r" \u0000\t\n\u000b\u000c\r\u001c\u001d\u001e\u001f\u0085     "
+    r"            　"
 )
 
 
-def clean_text(c: Column) -> Column:
+def sql_list(values: list) -> str:
+    return ", ".join(f"'{v}'" if isinstance(v, str) else f"{v!r}D" for v in values)
+
+
+def clean_text(x: str) -> str:
     """Text without NULs and outer blanks; empty becomes null."""
-    return F.nullif(F.replace(F.trim(c, F.lit(_STRIPPED)), F.lit("\x00"), F.lit("")), F.lit(""))
+    return rf"nullif(replace(trim(both '{_STRIPPED}' from {x}), '\u0000', ''), '')"
 
 
-def clean_chars(c: Column) -> Column:
+def clean_chars(x: str) -> str:
     """``clean_text`` of an array of single characters."""
-    return clean_text(F.array_join(c, ""))
+    return clean_text(f"array_join({x}, '')")
 
 
-def clean_bytes(c: Column) -> Column:
+def clean_bytes(x: str) -> str:
     """``clean_text`` of raw bytes; malformed UTF-8 becomes the replacement character."""
-    return clean_text(F.make_valid_utf8(c.cast("string")))
+    return clean_text(f"make_valid_utf8(cast({x} as string))")
 
 
-def clean_text_array(c: Column) -> Column:
+def clean_text_array(x: str) -> str:
     """``clean_text`` of each element."""
-    return F.transform(c, clean_text)
+    return f"transform({x}, t -> {clean_text('t')})"
 
 
-def clean_numeric(c: Column) -> Column:
+def clean_numeric(x: str) -> str:
     """Double, null for NaN, infinities and fill markers (NaN sorts above all numbers)."""
-    v = c.cast("double")
-    return F.when(~((F.abs(v) > FILL_ABOVE) | v.isin(FILL_VALUES)), v)
+    return (
+        f"case when abs({x}) <= {FILL_ABOVE!r}D and {x} not in ({sql_list(FILL_VALUES)}) "
+        f"then cast({x} as double) end"
+    )
 
 
-def clean_int(c: Column) -> Column:
+def clean_int(x: str) -> str:
     """Integer truncated toward zero, null for NaN and numbers outside the integer range."""
-    return F.when(F.abs(c) < 2147483648, c.cast("int"))
+    return f"case when abs({x}) < 2147483648 then cast({x} as int) end"
 
 
-def decode_qc(c: Column) -> Column:
-    """Quality flag as integer, -1 when undefined."""
-    # blanks are common: made null first, since a failing cast is far slower than a null one
-    return F.coalesce(F.nullif(F.trim(c), F.lit("")).try_cast("int"), F.lit(-1))
+def decode_qc(x: str) -> str:
+    """Quality flag as integer, -1 when undefined.
 
+    Blanks are common and made null first: a failing cast is far slower than a null one.
+    """
+    return f"coalesce(try_cast(nullif(trim({x}), '') as int), -1)"
 
-def juld_to_timestamp(c: Column) -> Column:
+
+def juld_to_timestamp(x: str) -> str:
     """Fractional days since 1950-01-01 to a timestamp cut to seconds.
 
     Days and day fraction are taken apart first, so the fraction keeps its digits; it is
     rounded to microseconds and then cut. Days outside years 1 to 9999 give null.
     """
-    days = clean_numeric(c)
-    whole = F.floor(days)
-    seconds = F.floor(F.round((days - whole) * 86400, 6)).cast("int")
-    moment = F.lit(EPOCH).cast("timestamp_ntz") + F.make_dt_interval(
-        whole.cast("int"), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")
+    days = f"({clean_numeric(x)})"
+    seconds = f"floor(round(({x} - floor({x})) * 86400, 6))"
+    return (
+        f"case when {days} between {_FIRST_DAY} and {_LAST_DAY} then timestamp_ntz'{EPOCH}' + "
+        f"make_dt_interval(cast(floor({x}) as int), 0, 0, cast({seconds} as decimal(18,6))) end"
     )
-    return F.when(whole.between(_FIRST_DAY, _LAST_DAY), moment)
 
 
-def parse_datetime14(c: Column) -> Column:
+def parse_datetime14(x: str) -> str:
     """First 14 characters read as yyyyMMddHHmmss; short or invalid gives null."""
-    text = clean_text(c)
-    iso = F.regexp_replace(text, "(?s)^(....)(..)(..)(..)(..)(..).*$", "$1-$2-$3 $4:$5:$6")
-    return F.when(text.rlike("^[0-9]{14}"), iso.try_cast("timestamp_ntz"))
+    text = clean_text(x)
+    iso = (
+        f"regexp_replace({text}, '(?s)^(....)(..)(..)(..)(..)(..).*$', "
+        "'$1-$2-$3 $4:$5:$6')"
+    )
+    return f"case when {text} rlike '^[0-9]{{14}}' then try_cast({iso} as timestamp_ntz) end"
 
 
-def classify_source(name: Column) -> Column:
+def classify_source(name: str) -> str:
     """File type from the two-letter prefix of the file name."""
-    prefix = F.substring(name, 1, 2)
     return (
-        F.when(prefix.isin("SD", "SR"), "synthetic_bgc")
-        .when(prefix.isin("BD", "BR"), "bgc")
-        .otherwise("core")
+        f"case when substring({name}, 1, 2) in ('SD', 'SR') then 'synthetic_bgc' "
+        f"when substring({name}, 1, 2) in ('BD', 'BR') then 'bgc' else 'core' end"
     )
 
 
-def build_profile_id(
-    platform: Column, cycle: Column, direction: Column, file_type: Column
-) -> Column:
+def build_profile_id(platform: str, cycle: str, direction: str, file_type: str) -> str:
     """``platform_cycle[D][_BGC]``: at least three cycle digits, a null cycle reads 000."""
-    return F.concat(
-        platform,
-        F.lit("_"),
-        F.format_string("%03d", F.coalesce(cycle, F.lit(0))),
-        F.when(direction == "D", "D").otherwise(""),
-        F.when(file_type == "synthetic_bgc", "_BGC").otherwise(""),
+    return (
+        f"concat({platform}, '_', format_string('%03d', coalesce({cycle}, 0)), "
+        f"if({direction} = 'D', 'D', ''), if({file_type} = 'synthetic_bgc', '_BGC', ''))"
     )
 
 
-def geo_point(lat: Column, lon: Column) -> Column:
+def geo_point(lat: str, lon: str) -> str:
     """(lon, lat) struct, null unless both are present."""
-    return F.when(
-        lat.isNotNull() & lon.isNotNull(), F.struct(lon.alias("lon"), lat.alias("lat"))
+    return (
+        f"case when {lat} is not null and {lon} is not null "
+        f"then named_struct('lon', {lon}, 'lat', {lat}) end"
     )
 
 
-def station_parameters(c: Column) -> Column:
+def station_parameters(x: str) -> str:
     """Non-blank parameter names in order, the core three if there are none."""
-    names = F.filter(clean_text_array(c), lambda x: x.isNotNull())
-    return F.when(F.size(names) > 0, names).otherwise(F.array(*map(F.lit, CORE_PARAMS)))
+    names = f"filter({clean_text_array(x)}, t -> t is not null)"
+    return f"case when size({names}) > 0 then {names} else array({sql_list(CORE_PARAMS)}) end"
 
 
-def detect_bgc(stations: Column) -> Column:
+def detect_bgc(stations: str) -> str:
     """Upper-cased biogeochemical names in order, repeats kept; null when there are none."""
-    found = F.filter(F.transform(stations, F.upper), lambda x: x.isin(BGC_PARAMS))
-    return F.when(F.size(found) > 0, found)
+    found = f"filter(transform({stations}, t -> upper(t)), t -> t in ({sql_list(BGC_PARAMS)}))"
+    return f"case when size({found}) > 0 then {found} end"
 
 
-def iso_date(c: Column) -> Column:
+def iso_date(x: str) -> str:
     """Timestamp as ISO-8601 text in UTC."""
-    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return f"date_format({x}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"

@@ -1,9 +1,4 @@
-"""Array functions over the levels, calibration grid and history of one raw profile."""
-
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+"""Array expressions over the levels, calibration grid and history of one raw profile."""
 
 from profilelake.functions.cleaning import (
     clean_numeric,
@@ -24,13 +19,17 @@ from profilelake.schema import (
     QC_PARTS,
 )
 
+_CALIBRATION_TYPE = "array<struct<parameter:string,{},date:timestamp_ntz>>".format(
+    ",".join(f"{c}:string" for c in CALIBRATION_TEXT)
+)
+
 
-def wanted_param(param: str, measured: Column) -> Column:
+def wanted_param(param: str, measured: str) -> str:
     """The raw struct of a parameter, null unless the upper-case ``measured`` list has it."""
-    return F.when(F.array_contains(measured, param), F.col(param.lower()))
+    return f"case when array_contains({measured}, '{param}') then {param.lower()} end"
 
 
-def assemble_levels(raw_pres: Column) -> Column:
+def assemble_levels(raw_pres: str) -> str:
     """Zip the cleaned arrays of the wanted parameters into level structs.
 
     The raw pressure array sets the number of levels; without one there are no levels.
@@ -40,92 +39,72 @@ def assemble_levels(raw_pres: Column) -> Column:
     arrays = []
     for param in PARAMS:
         for part, suffix in PARTS.items():
-            name = param.lower() + suffix
-            raw = F.col(param.lower())[part]
-            clean = F.transform(raw, decode_qc if part in QC_PARTS else clean_numeric)
-            empty = F.array().cast(_array_type(name))
-            arrays.append(F.coalesce(clean, empty).alias(name))
-    levels = F.slice(F.arrays_zip(*arrays), F.lit(1), F.size(raw_pres))
-    return F.when(raw_pres.isNotNull(), levels).otherwise(
-        F.array().cast(f"array<{LEVEL.simpleString()}>")
+            kind = LEVEL[param.lower() + suffix].dataType.simpleString()
+            clean = decode_qc("v") if part in QC_PARTS else clean_numeric("v")
+            arrays.append(
+                f"coalesce(transform({param.lower()}.{part}, v -> {clean}), "
+                f"cast(array() as array<{kind}>))"
+            )
+    zipped = f"slice(arrays_zip({', '.join(arrays)}), 1, size({raw_pres}))"
+    return (
+        f"case when {raw_pres} is not null then cast({zipped} as array<{LEVEL.simpleString()}>) "
+        f"else cast(array() as array<{LEVEL.simpleString()}>) end"
     )
 
 
-def _array_type(field: str) -> str:
-    return f"array<{LEVEL[field].dataType.simpleString()}>"
-
-
-def available_vars() -> Column:
+def available_vars() -> str:
     """Names of the raw variables that exist for the wanted parameters."""
     present = [
-        F.when(F.col(param.lower())[part].isNotNull(), param.lower() + suffix)
+        f"if({param.lower()}.{part} is not null, '{param.lower()}{suffix}', null)"
         for param in PARAMS
         for part, suffix in PARTS.items()
     ]
-    return F.array_compact(F.array(*present))
+    return f"array_compact(array({', '.join(present)}))"
 
 
-def filter_levels(levels: Column, file_type: Column) -> Column:
+def filter_levels(levels: str, file_type: str) -> str:
     """Levels with a raw core value or, in BGC files, a raw BGC value."""
 
-    def any_of(x: Column, params: list[str]) -> Column:
-        return reduce(lambda a, b: a | b, [x[p.lower()].isNotNull() for p in params])
+    def any_of(params: list[str]) -> str:
+        return f"coalesce({', '.join(f'm.{p.lower()}' for p in params)}) is not null"
 
-    bgc = file_type.isin("synthetic_bgc", "bgc")
-    return F.filter(
-        levels, lambda x: any_of(x, CORE_PARAMS) | (bgc & any_of(x, BGC_PARAMS))
+    return (
+        f"filter({levels}, m -> {any_of(CORE_PARAMS)} or "
+        f"({file_type} in ('synthetic_bgc', 'bgc') and {any_of(BGC_PARAMS)}))"
     )
 
 
-def max_pres(levels: Column) -> Column:
+def max_pres(levels: str) -> str:
     """Greatest non-null raw pressure."""
-    return F.array_max(F.transform(levels, lambda x: x["pres"]))
+    return f"array_max({levels}.pres)"
 
 
-def flatten_calibration() -> Column:
+def flatten_calibration() -> str:
     """The calibration grid as a list of entries, blank parameters left out."""
 
-    def cell(name: str, i: Column, j: Column) -> Column:
-        return F.get(F.get(F.col(f"calib_{name}"), i), j)
+    def cell(name: str) -> str:
+        return f"get(get(calib_{name}, i), j)"
 
-    def entry(name: Column, i: Column, j: Column) -> Column:
-        return F.struct(
-            clean_text(name).alias("parameter"),
-            *(clean_text(cell(c, i, j)).alias(c) for c in CALIBRATION_TEXT),
-            parse_datetime14(cell("date", i, j)).alias("date"),
-        )
-
-    grid = F.transform(
-        F.col("calib_parameter"),
-        lambda row, i: F.transform(row, lambda name, j: entry(name, i, j)),
-    )
-    entries = F.filter(F.flatten(grid), lambda e: e["parameter"].isNotNull())
-    empty = F.array().cast(
-        "array<struct<parameter:string,equation:string,coefficient:string,"
-        "comment:string,date:timestamp_ntz>>"
+    texts = ", ".join(f"{clean_text(cell(c))} as {c}" for c in CALIBRATION_TEXT)
+    entry = (
+        f"struct({clean_text('name')} as parameter, {texts}, "
+        f"{parse_datetime14(cell('date'))} as date)"
     )
-    return F.coalesce(entries, empty)
+    grid = f"transform(calib_parameter, (row, i) -> transform(row, (name, j) -> {entry}))"
+    entries = f"filter(flatten({grid}), e -> e.parameter is not null)"
+    return f"coalesce({entries}, cast(array() as {_CALIBRATION_TYPE}))"
 
 
-def flatten_history() -> Column:
+def flatten_history() -> str:
     """History records whose institution is not blank."""
     texts = [c for c in HISTORY_TEXT if c != "institution"]
-
-    def at(name: str, i: Column) -> Column:
-        return F.get(F.col(f"history_{name}"), i)
-
-    def entry(institution: Column, i: Column) -> Column:
-        return F.struct(
-            institution.alias("institution"),
-            *(clean_text(at(c, i)).alias(c) for c in texts),
-            parse_datetime14(at("date", i)).alias("date"),
-            *(clean_numeric(at(c, i)).alias(c) for c in HISTORY_NUMBERS),
-        )
-
-    entries = F.filter(
-        F.transform(clean_text_array(F.col("history_institution")), entry),
-        lambda e: e["institution"].isNotNull(),
-    )
-    fields = "".join(f",{c}:string" for c in texts) + ",date:timestamp_ntz"
-    fields += "".join(f",{c}:double" for c in HISTORY_NUMBERS)
-    return F.coalesce(entries, F.array().cast(f"array<struct<institution:string{fields}>>"))
+    fields = [f"{clean_text(f'get(history_{c}, i)')} as {c}" for c in texts]
+    fields.append(f"{parse_datetime14('get(history_date, i)')} as date")
+    fields += [f"{clean_numeric(f'get(history_{c}, i)')} as {c}" for c in HISTORY_NUMBERS]
+    entry = f"struct(inst as institution, {', '.join(fields)})"
+    names = clean_text_array("history_institution")
+    kept = f"filter(transform({names}, (inst, i) -> {entry}), e -> e.institution is not null)"
+    kinds = [f"{c}:string" for c in texts] + ["date:timestamp_ntz"]
+    kinds += [f"{c}:double" for c in HISTORY_NUMBERS]
+    empty = f"cast(array() as array<struct<institution:string,{','.join(kinds)}>>)"
+    return f"coalesce({kept}, {empty})"

@@ -1,44 +1,63 @@
 """Bronze rows to profiles, the split into core and BGC, and the rejected rows."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from profilelake.functions import cleaning as cl
 from profilelake.functions import levels as lv
 from profilelake.schema import BGC_PROFILE_QC, PARAMS, PROFILE_DATES, PROFILE_TEXT
 
+ROW_ERROR = (
+    "case when parse_error is not null then parse_error "
+    "when profile_index is null then 'no profiles in file' "
+    f"when {cl.clean_text('platform_number')} is null then 'no platform number' end"
+)
+
 
 def with_source(bronze: DataFrame) -> DataFrame:
     """Add ``file_type`` from the file name."""
-    return bronze.withColumn("file_type", cl.classify_source(F.col("source_file")))
-
-
-def _error() -> Column:
-    return (
-        F.when(F.col("parse_error").isNotNull(), F.col("parse_error"))
-        .when(F.col("profile_index").isNull(), "no profiles in file")
-        .when(cl.clean_text(F.col("platform_number")).isNull(), "no platform number")
-    )
+    return bronze.withColumn("file_type", F.expr(cl.classify_source("source_file")))
 
 
 def quarantine(bronze: DataFrame) -> DataFrame:
     """Rejected rows with the reason. Only an unreadable file counts as a failed file."""
-    return (
-        with_source(bronze)
-        .select(
-            "source_file",
-            "profile_index",
-            "file_type",
-            _error().alias("error"),
-            F.col("parse_error").isNotNull().alias("file_failed"),
-        )
-        .where(F.col("error").isNotNull())
-    )
+    return with_source(bronze).selectExpr(
+        "source_file",
+        "profile_index",
+        "file_type",
+        f"{ROW_ERROR} as error",
+        "parse_error is not null as file_failed",
+    ).where("error is not null")
 
 
 def accepted(bronze: DataFrame) -> DataFrame:
     """Rows that become profiles."""
-    return with_source(bronze).where(_error().isNull())
+    return with_source(bronze).where(f"({ROW_ERROR}) is null")
+
+
+def _replace(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
+    """Add or replace columns by expression text."""
+    return df.withColumns({name: F.expr(text) for name, text in exprs.items()})
+
+
+def clean_fields(bronze: DataFrame) -> DataFrame:
+    """Accepted rows with every scalar and list of names cleaned and typed."""
+    texts = [*PROFILE_TEXT, *BGC_PROFILE_QC, "platform_number"]
+    return _replace(
+        accepted(bronze),
+        {c: cl.clean_text(c) for c in texts}
+        | {c: cl.parse_datetime14(c) for c in PROFILE_DATES}
+        | {c: cl.clean_int(c) for c in ("cycle_number", "config_mission_number")}
+        | {c: cl.clean_numeric(c) for c in ("latitude", "longitude")}
+        | {
+            "timestamp": cl.juld_to_timestamp("juld"),
+            "timestamp_qc": cl.decode_qc("juld_qc"),
+            "timestamp_location": cl.juld_to_timestamp("juld_location"),
+            "position_qc": cl.decode_qc("position_qc"),
+            "parameter_data_mode": cl.clean_text_array("parameter_data_mode"),
+            "station_parameters": cl.station_parameters("station_parameters"),
+        },
+    )
 
 
 def normalize(bronze: DataFrame) -> DataFrame:
@@ -47,44 +66,22 @@ def normalize(bronze: DataFrame) -> DataFrame:
     A projection without a shuffle: a caller who reads few profile columns has the rest
     pruned, down to the scan.
     """
-    col = F.col
-    base = accepted(bronze)
-
-    # cleaned keys and positions first: later expressions build on them
-    keyed = base.withColumns(
-        {c: cl.clean_text(col(c)) for c in [*PROFILE_TEXT, *BGC_PROFILE_QC, "platform_number"]}
-        | {c: cl.parse_datetime14(col(c)) for c in PROFILE_DATES}
-        | {c: cl.clean_int(col(c)) for c in ("cycle_number", "config_mission_number")}
-        | {c: cl.clean_numeric(col(c)) for c in ("latitude", "longitude")}
-        | {
-            "timestamp": cl.juld_to_timestamp(col("juld")),
-            "timestamp_qc": cl.decode_qc(col("juld_qc")),
-            "timestamp_location": cl.juld_to_timestamp(col("juld_location")),
-            "position_qc": cl.decode_qc(col("position_qc")),
-            "parameter_data_mode": cl.clean_text_array(col("parameter_data_mode")),
-            "station_parameters": cl.station_parameters(col("station_parameters")),
-        }
-    )
     # parameters the station list does not name are dropped once, before they are read
-    wanted = (
-        keyed.withColumn("measured", F.transform("station_parameters", F.upper))
-        .withColumn("raw_pres", col("pres.value"))
-        .withColumns({p.lower(): lv.wanted_param(p, col("measured")) for p in PARAMS})
-    )
-    derived = wanted.withColumns(
-        {
-            "profile_id": cl.build_profile_id(
-                col("platform_number"), col("cycle_number"), col("direction"), col("file_type")
-            ),
-            "geo_location": cl.geo_point(col("latitude"), col("longitude")),
-            "bgc_parameters": cl.detect_bgc(col("station_parameters")),
-            "available_vars": lv.available_vars(),
-            "measurements": lv.filter_levels(
-                lv.assemble_levels(col("raw_pres")), col("file_type")
-            ),
-        }
+    listed = _replace(
+        clean_fields(bronze),
+        {"measured": "transform(station_parameters, t -> upper(t))", "raw_pres": "pres.value"},
     )
-    return derived.select(
+    wanted = _replace(listed, {p.lower(): lv.wanted_param(p, "measured") for p in PARAMS})
+    derived = _replace(wanted, {
+        "profile_id": cl.build_profile_id(
+            "platform_number", "cycle_number", "direction", "file_type"
+        ),
+        "geo_location": cl.geo_point("latitude", "longitude"),
+        "bgc_parameters": cl.detect_bgc("station_parameters"),
+        "available_vars": lv.available_vars(),
+        "measurements": lv.filter_levels(lv.assemble_levels("raw_pres"), "file_type"),
+    })
+    return derived.selectExpr(
         "profile_id",
         "platform_number",
         "cycle_number",
@@ -100,27 +97,27 @@ def normalize(bronze: DataFrame) -> DataFrame:
         "geo_location",
         *BGC_PROFILE_QC,
         "station_parameters",
-        col("bgc_parameters").isNotNull().alias("contains_bgc"),
+        "bgc_parameters is not null as contains_bgc",
         "bgc_parameters",
         "parameter_data_mode",
         "available_vars",
         "measurements",
-        F.size("measurements").alias("n_levels"),
-        lv.max_pres(col("measurements")).alias("max_pres"),
-        lv.flatten_calibration().alias("calibration"),
-        lv.flatten_history().alias("history"),
+        "size(measurements) as n_levels",
+        f"{lv.max_pres('measurements')} as max_pres",
+        f"{lv.flatten_calibration()} as calibration",
+        f"{lv.flatten_history()} as history",
         "source_file",
         "profile_index",
         "file_type",
-        F.current_timestamp().alias("ingested_at"),
+        "current_timestamp() as ingested_at",
     )
 
 
 def core_profiles(profiles: DataFrame) -> DataFrame:
     """Profiles of the core table: core and plain BGC files."""
-    return profiles.where(F.col("file_type") != "synthetic_bgc")
+    return profiles.where("file_type <> 'synthetic_bgc'")
 
 
 def bgc_profiles(profiles: DataFrame) -> DataFrame:
     """Profiles of the BGC table: synthetic files."""
-    return profiles.where(F.col("file_type") == "synthetic_bgc")
+    return profiles.where("file_type = 'synthetic_bgc'")

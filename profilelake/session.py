@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -57,3 +57,13 @@ def work_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below ``work_dir`` that no other run uses."""
     return f"{work_dir(spark)}/profilelake/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a narrow input that few splits hold.
+
+    Meant for rows about to grow (generated arrays, tokens). An input with at least as many
+    splits as the cluster has cores is left alone and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

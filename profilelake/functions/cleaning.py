@@ -11,8 +11,9 @@ EPOCH = "1950-01-01"
 _FIRST_DAY, _LAST_DAY = -711857, 2940201
 # every character the stripping of text removes: blanks of ASCII and Unicode, and NUL
 _STRIPPED = (
-    r" \u0000\t\n\u000b\u000c\r\u001c\u001d\u001e\u001f\u0085     "
-    r"            　"
+    "\\u0020\\u0000\\u0009\\u000a\\u000b\\u000c\\u000d\\u001c\\u001d\\u001e"
+    "\\u001f\\u0085\\u00a0\\u1680\\u2000\\u2001\\u2002\\u2003\\u2004\\u2005"
+    "\\u2006\\u2007\\u2008\\u2009\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 )
 
 

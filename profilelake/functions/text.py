@@ -75,8 +75,8 @@ def fixed(x: str, digits: int) -> str:
         f"({error} > 0D or ({error} = 0D and {whole} % 2 = 1))))"
     )
     return (
-        f"concat(if({x} < 0, '-', ''), "
-        f"format_string('%.{digits}f', ({whole} + if({up}, 1, 0)) / {scale}))"
+        f"case when {x} is not null then concat(if({x} < 0, '-', ''), "
+        f"format_string('%.{digits}f', ({whole} + if({up}, 1, 0)) / {scale})) end"
     )
 
 

@@ -120,23 +120,19 @@ def lookup_profiles(
 
 def _values(parameters: list[str], use_adjusted: bool) -> tuple[list[str], list[str]]:
     """Level arrays to read for the parameters, and the output expressions over one level."""
-    arrays, outputs = ["measurements.pres as pres"], ["m.pres as depth_m"]
-    for p in parameters:
+    arrays, outputs = ["pres"], ["m.pres as depth_m"]
+    for p in dict.fromkeys(parameters):
         if p == "pres":
             continue
-        value, flag = f"m.{p}", f"m.{p}_qc"
-        if p not in arrays:
-            arrays.append(f"measurements.{p} as {p}")
+        arrays.append(p)
+        value, flag = f"m.{p}", f"{p}_qc"
         if use_adjusted:
-            arrays += [f"measurements.{p}_{s} as {p}_{s}" for s in ("adjusted", "adjusted_qc")]
-            value = (
-                f"if(array_contains(available_vars, '{p}_adjusted'), m.{p}_adjusted, m.{p})"
-            )
-            flag = f"m.{p}_adjusted_qc"
-        else:
-            arrays.append(f"measurements.{p}_qc as {p}_qc")
-        outputs += [f"{value} as {p}", f"{flag} as {p}_qc"]
-    return arrays, outputs
+            arrays.append(f"{p}_adjusted")
+            value = f"if(array_contains(available_vars, '{p}_adjusted'), m.{p}_adjusted, m.{p})"
+            flag = f"{p}_adjusted_qc"
+        arrays.append(flag)
+        outputs += [f"{value} as {p}", f"m.{flag} as {p}_qc"]
+    return [f"measurements.{a}" for a in arrays], outputs
 
 
 def profile_data(

@@ -57,7 +57,7 @@ def _levels(
 ) -> DataFrame:
     """Levels with a pressure, reading only the arrays of the parameters."""
     wanted = dict.fromkeys(["pres", *parameters])
-    arrays = ", ".join(f"measurements.{p} as {p}" for p in wanted)
+    arrays = ", ".join(f"measurements.{p}" for p in wanted)
     found = _found(profiles, bgc, ids, ["platform_number", "cycle_number", "measurements"])
     return found.selectExpr(
         "requested_id", "position", "profile_id", f"{LABEL} as label",

@@ -36,10 +36,10 @@ def aggregate_statistics(
     """
     key = require_param(parameter)
     table = bgc if key in QUERY_BGC_PARAMS else profiles
+    fields = ", ".join(f"measurements.{p}" for p in dict.fromkeys(["pres", key]))
     inside = F.expr(
-        f"transform(filter(arrays_zip(measurements.pres as p, measurements.{key} as v), "
-        f"m -> m.p between {float(min_depth)!r}D and {float(max_depth)!r}D and m.v is not null), "
-        "m -> m.v)"
+        f"transform(filter(arrays_zip({fields}), m -> m.pres between {float(min_depth)!r}D "
+        f"and {float(max_depth)!r}D and m.{key} is not null), m -> m.{key})"
     )
     per_profile = (
         table.where(date_filter(start_date, end_date))

@@ -47,7 +47,7 @@ def float_profiles(
     ``limit`` rows per float before the shuffle, so a float with very many profiles does
     not end up in one task.
     """
-    both = _tagged(profiles, bgc)
+    both = tagged(profiles, bgc)
     if platform_number is not None:
         both = both.where(F.col("platform_number") == platform_number)
     totals = both.groupBy("platform_number").agg(
@@ -67,12 +67,28 @@ def float_profiles(
     return first.join(totals, "platform_number")
 
 
-def _tagged(profiles: DataFrame, bgc: DataFrame) -> DataFrame:
+def tagged(profiles: DataFrame, bgc: DataFrame) -> DataFrame:
     return profiles.withColumn("source", F.lit("core")).unionByName(
         bgc.withColumn("source", F.lit("bgc")), allowMissingColumns=True
     )
 
 
+def explode_levels(
+    profiles: DataFrame, keep: list[str], fields: list[str], max_levels: int | None = None
+) -> DataFrame:
+    """One row (``keep`` columns, level, m) per stored level, reading only ``fields`` of it.
+
+    Exploding the zipped fields, not the level structs, prunes the scan to them. The outer
+    form with the filter after it keeps Spark from testing the arrays a second time first.
+    """
+    levels = f"arrays_zip({', '.join(f'measurements.{f}' for f in dict.fromkeys(fields))})"
+    if max_levels is not None:
+        levels = f"slice({levels}, 1, {max_levels})"
+    return profiles.selectExpr(*keep, f"posexplode_outer({levels}) as (level, m)").where(
+        "m is not null"
+    )
+
+
 def requests(spark: SparkSession, ids: list[str] | DataFrame) -> DataFrame:
     """Wanted ids as (requested_id, position); a DataFrame of ids has no positions."""
     if isinstance(ids, DataFrame):
@@ -119,20 +135,19 @@ def lookup_profiles(
 
 
 def _values(parameters: list[str], use_adjusted: bool) -> tuple[list[str], list[str]]:
-    """Level arrays to read for the parameters, and the output expressions over one level."""
-    arrays, outputs = ["pres"], ["m.pres as depth_m"]
+    """Level fields to read for the parameters, and the output expressions over one level."""
+    fields, outputs = ["pres"], ["m.pres as depth_m"]
     for p in dict.fromkeys(parameters):
         if p == "pres":
             continue
-        arrays.append(p)
         value, flag = f"m.{p}", f"{p}_qc"
         if use_adjusted:
-            arrays.append(f"{p}_adjusted")
+            fields.append(f"{p}_adjusted")
             value = f"if(array_contains(available_vars, '{p}_adjusted'), m.{p}_adjusted, m.{p})"
             flag = f"{p}_adjusted_qc"
-        arrays.append(flag)
+        fields += [p, flag]
         outputs += [f"{value} as {p}", f"m.{flag} as {p}_qc"]
-    return [f"measurements.{a}" for a in arrays], outputs
+    return fields, outputs
 
 
 def profile_data(
@@ -149,18 +164,13 @@ def profile_data(
     variable at all. Levels without pressure are kept.
     """
     names = parameters.split(",") if isinstance(parameters, str) else parameters
-    arrays, outputs = _values([require_param(p) for p in names], use_adjusted)
+    fields, outputs = _values([require_param(p) for p in names], use_adjusted)
     found = lookup_profiles(
         profiles, bgc, ids,
         ["platform_number", "cycle_number", "timestamp", "n_levels", "available_vars",
          "measurements"],
     )
-    return found.selectExpr(
-        "requested_id", "profile_id", "platform_number", "cycle_number", "timestamp",
-        "n_levels as total_levels", f"least({max_levels}, n_levels) as showing_levels",
-        "available_vars",
-        f"posexplode(slice(arrays_zip({', '.join(arrays)}), 1, {max_levels})) as (level, m)",
-    ).selectExpr(
-        "requested_id", "profile_id", "platform_number", "cycle_number", "timestamp",
-        "total_levels", "showing_levels", "level", *outputs,
-    )
+    facts = ["requested_id", "profile_id", "platform_number", "cycle_number", "timestamp"]
+    shown = ["n_levels as total_levels", f"least({max_levels}, n_levels) as showing_levels"]
+    levels = explode_levels(found, [*facts, *shown, "available_vars"], fields, max_levels)
+    return levels.selectExpr(*facts, "total_levels", "showing_levels", "level", *outputs)

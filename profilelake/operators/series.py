@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profilelake.functions.cleaning import iso_date
-from profilelake.operators.lookup import _tagged, lookup_profiles
+from profilelake.operators.lookup import tagged, explode_levels, lookup_profiles
 from profilelake.schema import require_param
 
 LABEL = "concat(coalesce(platform_number, '?'), '@c', coalesce(cast(cycle_number as string), '?'))"
@@ -41,7 +41,7 @@ def _found(
     """Wanted profiles, or with no ids every profile of both tables."""
     if ids is not None:
         return lookup_profiles(profiles, bgc, ids, columns)
-    every = _tagged(
+    every = tagged(
         profiles.select("profile_id", *columns), bgc.select("profile_id", *columns)
     )
     return every.withColumns({
@@ -56,13 +56,9 @@ def _levels(
     parameters: list[str],
 ) -> DataFrame:
     """Levels with a pressure, reading only the arrays of the parameters."""
-    wanted = dict.fromkeys(["pres", *parameters])
-    arrays = ", ".join(f"measurements.{p}" for p in wanted)
     found = _found(profiles, bgc, ids, ["platform_number", "cycle_number", "measurements"])
-    return found.selectExpr(
-        "requested_id", "position", "profile_id", f"{LABEL} as label",
-        f"posexplode(arrays_zip({arrays})) as (level, m)",
-    ).where("m.pres is not null")
+    keep = ["requested_id", "position", "profile_id", f"{LABEL} as label"]
+    return explode_levels(found, keep, ["pres", *parameters]).where("m.pres is not null")
 
 
 def depth_series(

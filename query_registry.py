@@ -26,7 +26,7 @@ from profilelake.operators import (
 from profilelake.operators.normalize import accepted, clean_fields, normalize, quarantine, with_source
 from profilelake.plans import ingest
 from profilelake.schema import QC_MEANINGS
-from profilelake.session import configure, fresh_path
+from profilelake.session import configure, fresh_path, spread
 from profilelake.sources import documents as docstore
 from profilelake.sources import fixtures, landing, tables
 from profilelake.sources.lake import Lake, fixture_lake, fixture_store
@@ -219,7 +219,7 @@ def stream_ingest_query(spark, sf_dir):
     store = ingest.Store(spark, fresh_path(spark, "stream"))
     stream_ingest(
         store, landing_zone(spark, sf_dir), fresh_path(spark, "stream-checkpoint"), LANDING,
-        files_per_batch=4,
+        files_per_batch=32,
     )
     fields = ["profile_id", "platform_number", "n_levels", "bgc_parameters"]
     both = store.read("profiles").select(*fields).unionByName(
@@ -426,8 +426,9 @@ def assemble_levels(bronze):
 
 @on_profiles("filter_levels", "SELECT profile_id, level, pres, temp, psal, doxy, chla FROM lev")
 def filter_levels(p):
-    return p.selectExpr("profile_id", "posexplode(measurements) as (level, m)").selectExpr(
-        "profile_id", "level", "m.pres", "m.temp", "m.psal", "m.doxy", "m.chla"
+    fields = ["pres", "temp", "psal", "doxy", "chla"]
+    return lookup.explode_levels(p, ["profile_id"], fields).selectExpr(
+        "profile_id", "level", *(f"m.{f}" for f in fields)
     )
 
 
@@ -490,7 +491,7 @@ def stamp_ingest(bronze):
       FROM lev) GROUP BY ALL""")
 def qc_meaning(p):
     names = p.sparkSession.createDataFrame(QC_MEANINGS, "pres_qc int, meaning string")
-    flags = p.select(F.explode("measurements.pres_qc").alias("pres_qc"))
+    flags = lookup.explode_levels(p, ["profile_id"], ["pres_qc"]).select("m.pres_qc")
     return flags.groupBy("pres_qc").agg(F.count("*").alias("levels")).join(
         F.broadcast(names), "pres_qc", "left"
     )
@@ -709,9 +710,9 @@ WORDS = sql.words("documents", "doc_id", "text")
       min(bucket) AS first_bucket, max(bucket) AS last_bucket
     FROM ({WORDS}) GROUP BY doc_id""")
 def embed_documents(spark, sf_dir):
-    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(
+    texts = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(
         "doc_id as id", "text as document"
-    )
+    ))
     vecs = vectors.embed_documents(texts).selectExpr(
         "id", "embedding as v", "filter(sequence(0L, 383L), i -> embedding[cast(i as int)] <> 0) as used"
     )

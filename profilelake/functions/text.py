@@ -74,9 +74,11 @@ def fixed(x: str, digits: int) -> str:
         f"({rest} > 0.5D or ({rest} = 0.5D and "
         f"({error} > 0D or ({error} = 0D and {whole} % 2 = 1))))"
     )
+    # from 2^53 on the scaled number has no fraction to round
+    rounded = f"if({scaled} < 9007199254740992D, ({whole} + if({up}, 1, 0)) / {scale}, {size})"
     return (
         f"case when {x} is not null then concat(if({x} < 0, '-', ''), "
-        f"format_string('%.{digits}f', ({whole} + if({up}, 1, 0)) / {scale})) end"
+        f"format_string('%.{digits}f', {rounded})) end"
     )
 
 

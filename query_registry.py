@@ -974,12 +974,12 @@ def nearest_floats(lake):
 
 
 @query("nearest_join", nearest_oracle("""
-    SELECT s_suppkey AS point_id, (s_suppkey * 37 % 1601) / 10e0 - 80e0 AS lat,
-      (s_suppkey * 131 % 3600) / 10e0 - 180e0 AS lon FROM supplier""", 800, 100))
+    SELECT s_suppkey AS point_id, (s_suppkey * 37 % 901) / 10e0 - 62e0 AS lat,
+      (s_suppkey * 131 % 1201) / 10e0 + 10e0 AS lon FROM supplier""", 800, 100))
 def nearest_join(spark, sf_dir):
     points = spark.read.parquet(f"{sf_dir}/supplier.parquet").selectExpr(
-        "s_suppkey as point_id", "(s_suppkey * 37 % 1601) / 10e0 - 80e0 as lat",
-        "(s_suppkey * 131 % 3600) / 10e0 - 180e0 as lon",
+        "s_suppkey as point_id", "(s_suppkey * 37 % 901) / 10e0 - 62e0 as lat",
+        "(s_suppkey * 131 % 1201) / 10e0 + 10e0 as lon",
     )
     lake = fixture_lake(spark, sf_dir)
     return nearest.nearest_join(lake.profiles, points, 800).selectExpr("point_id", *NEAR)

@@ -53,13 +53,19 @@ def assemble_levels(raw_pres: str) -> str:
 
 
 def available_vars() -> str:
-    """Names of the raw variables that exist for the wanted parameters."""
-    present = [
-        f"if({param.lower()}.{part} is not null, '{param.lower()}{suffix}', null)"
-        for param in PARAMS
-        for part, suffix in PARTS.items()
-    ]
-    return f"array_compact(array({', '.join(present)}))"
+    """Names of the raw variables that exist for the wanted parameters.
+
+    Marks absent parts with an empty name and removes those: unlike a filter lambda, all
+    of it compiles, and an absent parameter costs one test.
+    """
+    groups = []
+    for param in PARAMS:
+        name = param.lower()
+        parts = ", ".join(
+            f"if({name}.{part} is not null, '{name}{suffix}', '')" for part, suffix in PARTS.items()
+        )
+        groups.append(f"if({name} is null, cast(array() as array<string>), array({parts}))")
+    return f"array_remove(flatten(array({', '.join(groups)})), '')"
 
 
 def filter_levels(levels: str, file_type: str) -> str:

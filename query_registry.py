@@ -217,10 +217,7 @@ def ingest_summary(bronze):
       AS bgc_parameters FROM prof"""))
 def stream_ingest_query(spark, sf_dir):
     store = ingest.Store(spark, fresh_path(spark, "stream"))
-    stream_ingest(
-        store, landing_zone(spark, sf_dir), fresh_path(spark, "stream-checkpoint"), LANDING,
-        files_per_batch=32,
-    )
+    stream_ingest(store, landing_zone(spark, sf_dir), LANDING, files_per_batch=32)
     fields = ["profile_id", "platform_number", "n_levels", "bgc_parameters"]
     both = store.read("profiles").select(*fields).unionByName(
         store.read("bgc_profiles").select(*fields)

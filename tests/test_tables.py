@@ -113,11 +113,10 @@ def test_stream_equals_batch_and_repeats_safely(spark, sf_dir):
     batch = ingest.Store(spark, fresh_path(spark, "batch"))
     ingest.ingest(batch, fixtures.bronze(spark, sf_dir))
     stream = ingest.Store(spark, fresh_path(spark, "stream"))
-    checkpoint = fresh_path(spark, "checkpoint")
-    stream_ingest(stream, root, checkpoint, LANDING, files_per_batch=40)
+    stream_ingest(stream, root, LANDING, files_per_batch=40)
     for table in ("profiles", "bgc_profiles", "floats"):
         assert rows(stream.read(table)) == rows(batch.read(table))
-    stream_ingest(stream, root, checkpoint, LANDING, files_per_batch=40)
+    stream_ingest(stream, root, LANDING, files_per_batch=40)
     merge_changes(stream)
     assert rows(stream.read("floats")) == rows(batch.read("floats"))
     assert stream.read("profiles").count() == batch.read("profiles").count()

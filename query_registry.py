@@ -711,13 +711,15 @@ def embed_documents(spark, sf_dir):
         "doc_id as id", "text as document"
     ))
     vecs = vectors.embed_documents(texts).selectExpr(
-        "id", "embedding as v", "filter(sequence(0L, 383L), i -> embedding[cast(i as int)] <> 0) as used"
+        "id", "embedding as v", "filter(transform(embedding, (x, i) -> if(x <> 0, i, -1)), i -> i >= 0) as used"
     )
-    return vecs.where("size(used) > 0").selectExpr(
+    # words are counted, so a vector with any word has a positive maximum
+    return vecs.selectExpr(
         "id", "cast(size(used) as bigint) as buckets_used",
-        "round(cast(array_max(v) as double), 4) as top_value", "used[0] as first_bucket",
-        "element_at(used, -1) as last_bucket",
-    )
+        "round(cast(array_max(v) as double), 4) as top_value",
+        "cast(get(used, 0) as bigint) as first_bucket",
+        "cast(try_element_at(used, -1) as bigint) as last_bucket",
+    ).where("top_value > 0")
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

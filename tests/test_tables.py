@@ -122,6 +122,19 @@ def test_stream_equals_batch_and_repeats_safely(spark, sf_dir):
     assert stream.read("profiles").count() == batch.read("profiles").count()
 
 
+def test_fold_keeps_optional_fields(spark):
+    from profilelake.schema import OPTIONAL_COLUMNS
+    from profilelake.streaming.ingest import fold_changes
+
+    df = spark.createDataFrame(
+        [("a", 0, "old", ["DOXY"]), ("a", 1, "mid", ["CHLA"]), ("a", 2, None, None),
+         ("b", 1, "only", None)],
+        "profile_id string, batch int, pi_name string, bgc_parameters array<string>",
+    ).withColumns({c: F.lit(None).cast("string") for c in OPTIONAL_COLUMNS if c != "bgc_parameters"})
+    got = {r.profile_id: (r.pi_name, r.bgc_parameters) for r in fold_changes(df).collect()}
+    assert got == {"a": (None, ["CHLA"]), "b": ("only", None)}
+
+
 def test_documents_last_wins(spark):
     store = ingest.Store(spark, fresh_path(spark, "docs"))
     df = spark.createDataFrame(

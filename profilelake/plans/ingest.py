@@ -53,8 +53,13 @@ def collisions(profiles: DataFrame) -> DataFrame:
 
 
 def upsert_profiles(store: Store, table: str, profiles: DataFrame) -> DataFrame:
-    """Merge a batch into a profile table; running it twice changes nothing."""
-    batch = one_per_id(profiles)
+    """Merge a batch into a profile table; running it twice changes nothing.
+
+    A row without an id gets the plain one of its platform and cycle.
+    """
+    unnamed = "concat(coalesce(platform_number, 'UNK'), '_', format_string('%03d', coalesce(cycle_number, 0)))"
+    named = profiles.withColumn("profile_id", F.expr(f"coalesce(profile_id, {unnamed})"))
+    batch = one_per_id(named)
     if store.exists(table):
         old = store.read(table).drop("year")
         batch = tables.merge_rows(old, batch, ["profile_id"], OPTIONAL_COLUMNS)

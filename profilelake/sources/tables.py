@@ -18,6 +18,11 @@ def _complete_snapshots(spark: SparkSession, root: str) -> list[int]:
     )
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def table_exists(spark: SparkSession, root: str) -> bool:
     return bool(_complete_snapshots(spark, root))
 

@@ -122,6 +122,20 @@ def test_stream_equals_batch_and_repeats_safely(spark, sf_dir):
     assert stream.read("profiles").count() == batch.read("profiles").count()
 
 
+def test_missing_id_is_made_up(spark):
+    store = ingest.Store(spark, fresh_path(spark, "unnamed"))
+    df = normalize(raw(spark)).withColumns({
+        "profile_id": F.lit(None).cast("string"), "platform_number": F.lit(None).cast("string")})
+    assert ingest.upsert_profiles(store, "profiles", df).first().profile_id == "UNK_001"
+
+
+def test_stream_without_files_does_nothing(spark, tmp_path):
+    store = ingest.Store(spark, fresh_path(spark, "nothing"))
+    (tmp_path / "7" / "profiles").mkdir(parents=True)
+    stream_ingest(store, str(tmp_path))
+    assert not store.exists("profiles")
+
+
 def test_fold_keeps_optional_fields(spark):
     from profilelake.schema import OPTIONAL_COLUMNS
     from profilelake.streaming.ingest import fold_changes

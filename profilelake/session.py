@@ -11,9 +11,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # the JVM never compiles methods above 8000 bytes of bytecode; beyond that Spark's
-    # expression-wise code, which it splits into small methods, is faster
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     # float rollups keep more groups per task than the default 128 before they sort
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }

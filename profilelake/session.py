@@ -1,10 +1,13 @@
 """Session settings and the shared working folder."""
 
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,9 +20,16 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the engine's runtime settings to a session."""
+    """Apply the engine's runtime settings to a session.
+
+    Python workers on this machine find the package by the path set here; on a cluster it is
+    installed or shipped with ``--py-files``.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
     return spark
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from profilelake.llm import bitplanes, decontaminate, mixing, simhash, toxicity
+from pyspark.sql import functions as F
+
+from profilelake.llm import bitplanes, chat, decontaminate, mixing, simhash, toxicity, warc
 from profilelake.llm.common import table
 from profilelake.session import configure, fresh_path
 
@@ -23,19 +25,43 @@ def op5_mixing(spark, sf_dir):
     return mixing.mixed(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op7_warc(spark, sf_dir):
+    path = fresh_path(configure(spark), "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.verify(spark, path)
+
+
 def op8_decontamination(spark, sf_dir):
     configure(spark)
     return decontaminate.report(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: What both turns of the added conversation -7 say.
+TRICKY = r"\### Assistant: </turn> ok"
+
+
+def op9_chat(spark, sf_dir):
+    configure(spark)
+    added = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(TRICKY).alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    path = fresh_path(spark, "chat")
+    chat.render(chat.fold(chat.as_events(rows.unionByName(added)))).write.parquet(path)
+    return chat.digest(spark.read.parquet(path))
+
+
 def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(configure(spark), sf_dir, "documents"))
 
 
 QUERIES = {
     f.__name__: f for f in (
-        op2_bitplanes, op4_toxicity, op5_mixing, op8_decontamination, op10_simhash,
+        op2_bitplanes, op4_toxicity, op5_mixing, op7_warc, op8_decontamination, op9_chat,
+        op10_simhash,
     )
 }
 
@@ -115,4 +141,38 @@ slots as (
 )
 select doc_id, size, source_size, target, coalesce(taken, 0)::bigint taken
 from placed left join taken using (r)""",
+    "op7_warc": """
+with p as (
+  select page_id, coalesce(url, '') url, encode(coalesce(html, '')) h from pages
+), k as (select page_id, url, octet_length(h) payload_bytes, sha256(h) k, upper(sha1(h)) x from p),
+r as (
+  select *, row_number() over (partition by k order by page_id desc nulls last, url desc) = 1 response,
+    first_value(page_id) over (partition by k order by page_id desc nulls last, url desc) f
+  from k
+)
+select page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(x, 1 + 10 * (i // 8), 10))::bigint >> (35 - 5 * (i % 8))) & 31)::int, 1)), '')
+    payload_digest,
+  case when response then 'response' else 'revisit' end record_type,
+  case when not response then f end refers_to
+from r""",
+    "op9_chat": r"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), f as (
+  select *, '### ' || regexp_replace(role, '(\\|###|</turn>|:)', '\\\1', 'g') || ': '
+    || regexp_replace(text, '(\\|###|</turn>)', '\\\1', 'g') || ' </turn>' || chr(10) s
+  from c
+)
+select conv_id, count(*) n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, sha256(text)))
+    turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, sha256(text))
+    filter (role = 'assistant'), '')) loss_sha256,
+  sum(length(s))::bigint formatted_chars
+from f group by conv_id""",
 }

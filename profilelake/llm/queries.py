@@ -4,17 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from profilelake.llm import bitplanes, chat, decontaminate, mixing, simhash, toxicity, warc
+from profilelake.llm import (
+    bitplanes,
+    brown,
+    chat,
+    decontaminate,
+    embedding_dups,
+    mixing,
+    pii,
+    simhash,
+    toxicity,
+    warc,
+)
 from profilelake.llm.common import table
 from profilelake.session import configure, fresh_path
 
 
+def op1_pii(spark, sf_dir):
+    configure(spark)
+    return pii.find(table(spark, sf_dir, "documents"), pii.labelled_table(spark))
+
+
 def op2_bitplanes(spark, sf_dir):
     path = fresh_path(configure(spark), "bitplanes")
     bitplanes.write(table(spark, sf_dir, "documents"), path)
     return bitplanes.report(spark, path)
 
 
+def op3_brown(spark, sf_dir):
+    return brown.report(table(configure(spark), sf_dir, "documents"))
+
+
 def op4_toxicity(spark, sf_dir):
     configure(spark)
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -25,6 +45,10 @@ def op5_mixing(spark, sf_dir):
     return mixing.mixed(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op6_embeddings(spark, sf_dir):
+    return embedding_dups.near_duplicates(table(configure(spark), sf_dir, "embeddings"))
+
+
 def op7_warc(spark, sf_dir):
     path = fresh_path(configure(spark), "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
@@ -60,8 +84,8 @@ def op10_simhash(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f for f in (
-        op2_bitplanes, op4_toxicity, op5_mixing, op7_warc, op8_decontamination, op9_chat,
-        op10_simhash,
+        op1_pii, op2_bitplanes, op3_brown, op4_toxicity, op5_mixing, op6_embeddings, op7_warc,
+        op8_decontamination, op9_chat, op10_simhash,
     )
 }
 
@@ -141,6 +165,21 @@ slots as (
 )
 select doc_id, size, source_size, target, coalesce(taken, 0)::bigint taken
 from placed left join taken using (r)""",
+    "op6_embeddings": """
+with recursive v as (
+  select vec_id, embedding::double[] e from embeddings
+), u as (
+  select vec_id, e from v
+  where e is not null and list_sum(list_transform(e, lambda x: x * x)) > 0
+    and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+), l as (
+  select a.vec_id a, b.vec_id b from u a, u b
+  where a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.9
+), r as (select a, b from l union select r.a, l.b from r join l on r.b = l.a)
+select vec_id, (select count(*) from l where a = vec_id) n_links,
+  least(vec_id, coalesce((select min(b) from r where a = vec_id), vec_id)) component_id,
+  vec_id = least(vec_id, coalesce((select min(b) from r where a = vec_id), vec_id)) kept
+from v""",
     "op7_warc": """
 with p as (
   select page_id, coalesce(url, '') url, encode(coalesce(html, '')) h from pages

@@ -40,6 +40,19 @@ TOKENIZER = "word_bpe_49k.json"
 _MEMORY = 400_000
 _MARK = "\x01"
 _TOGETHER = 64
+#: Marks that end a word and are cut off it whatever comes before.
+MARKS = (".", ",")
+
+
+def _byte_characters() -> dict[int, str]:
+    """The characters that byte-level vocabularies write for bytes: printable ones themselves,
+    the others in turn from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+BYTE_CHARACTERS = _byte_characters()
 
 BLOCKS = (
     "shard int, block int, n_ids int, plane_bytes array<int>, payload binary, first_doc long,"
@@ -61,14 +74,47 @@ class Encoder:
         self.words: dict[str, bytes] = {}
         mark = self._encode(_MARK)
         self.mark = mark[0] if len(mark) == 1 else None
+        self.marks = {"": b""} | {
+            m: np.array(self._encode(m), np.uint32).tobytes() for m in MARKS
+        }
+        # whether words may go to the model themselves, tried on some of all kinds
+        tried = ["Word", "wordlike.", "ÉTÉ,", "größe", "ñandú."]
+        self.plain = True
+        self.plain = all(
+            self._word(w) == np.array(self._encode(w), np.uint32).tobytes() for w in tried
+        )
 
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _word(self, word: str) -> bytes | None:
+        """Ids of a word of Latin-1 letters and at most one mark, straight from the model.
+
+        Such a word is normal already but for its case, and the tokenizer cuts it before the mark.
+        """
+        stem = word.lower()
+        mark = stem[-1:] if stem[-1:] in MARKS else ""
+        stem = stem.removesuffix(mark)
+        if not stem.isalpha() or max(stem) > "\xff":
+            return None
+        ids = self.words.get(stem) if mark or stem != word else None
+        if ids is None:
+            found = self.tokenizer.model.tokenize(
+                stem.encode().decode("latin-1").translate(BYTE_CHARACTERS))
+            ids = self.words[stem] = np.array([t.id for t in found], np.uint32).tobytes()
+        return ids + self.marks[mark]
+
     def _learn(self, new: list[str]) -> None:
-        for word in new if self.mark is None else [w for w in new if _MARK in w]:
+        rest = []
+        for word in new:
+            ids = self._word(word) if self.plain else None
+            if ids is None:
+                rest.append(word)
+            else:
+                self.words[word] = ids
+        for word in rest if self.mark is None else [w for w in rest if _MARK in w]:
             self.words[word] = np.array(self._encode(word), np.uint32).tobytes()
-        rest = [w for w in new if _MARK not in w] if self.mark is not None else []
+        rest = [w for w in rest if _MARK not in w] if self.mark is not None else []
         groups = [rest[i: i + _TOGETHER] for i in range(0, len(rest), _TOGETHER)]
         joined = self.tokenizer.encode_batch_fast(
             [f" {_MARK} ".join(g) for g in groups], add_special_tokens=False

@@ -1,6 +1,7 @@
 """Session settings and the shared working folder."""
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -53,11 +54,13 @@ _local_folder: list[tempfile.TemporaryDirectory] = []
 def work_dir(spark: SparkSession) -> str:
     """The folder every executor shares: ``spark.checkpoint.dir`` of the session.
 
-    Where the session names none (tests on one machine) it is a temporary folder that
-    goes away with the process.
+    Where the session names none and runs on one machine, as in tests, it is a temporary folder
+    that goes away with the process; on a cluster other machines would not see it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not _local_folder:
             _local_folder.append(tempfile.TemporaryDirectory(prefix="profilelake-"))
         folder = _local_folder[0].name

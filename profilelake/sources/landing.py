@@ -5,9 +5,6 @@ from pyspark.sql import functions as F
 
 from profilelake.schema import BRONZE
 
-# a file list up to this long is broadcast; a longer one is joined by shuffle
-BROADCAST_FILES = 10_000
-
 
 def scan_raw(
     spark: SparkSession, root: str, pattern: str = "*/profiles", fmt: str = "parquet"
@@ -25,9 +22,11 @@ def scan_raw(
     )
 
 
-def limit_input(bronze: DataFrame, n: int, path: str = "source_file") -> DataFrame:
-    """Rows of the first ``n`` files in path order."""
+def limit_input(bronze: DataFrame, n: int, path: str | None = None) -> DataFrame:
+    """Rows of the first ``n`` files in path order: float folder, then file.
+
+    Rows that were not read by ``scan_raw`` have no path and go by file name.
+    """
+    path = path or ("landing_path" if "landing_path" in bronze.columns else "source_file")
     first = bronze.select(path).distinct().orderBy(path).limit(n)
-    if n <= BROADCAST_FILES:
-        first = F.broadcast(first)
     return bronze.join(first, path, "left_semi")

@@ -5,8 +5,11 @@ once Spark has marked it complete. Lost executors cost retried tasks only, and a
 run leaves the last complete snapshot in place.
 """
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _complete_snapshots(spark: SparkSession, root: str) -> list[int]:
@@ -27,21 +30,45 @@ def table_exists(spark: SparkSession, root: str) -> bool:
     return bool(_complete_snapshots(spark, root))
 
 
+def _schema_file(spark: SparkSession, root: str, number: int):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/_schema-{number}.json")
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _snapshot(spark: SparkSession, root: str, number: int) -> DataFrame:
+    """A snapshot by its declared schema, so that one without rows, hence without files, reads too."""
+    path, fs = _schema_file(spark, root, number)
+    reader = spark.read
+    if fs.exists(path):
+        stream = fs.open(path)
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        reader = reader.schema(T.StructType.fromJson(json.loads(text)))
+    return reader.parquet(f"{root}/snapshot={number}")
+
+
 def read_table(spark: SparkSession, root: str) -> DataFrame:
     """The newest complete snapshot."""
-    return spark.read.parquet(f"{root}/snapshot={_complete_snapshots(spark, root)[-1]}")
+    snapshots = _complete_snapshots(spark, root)
+    if not snapshots:
+        raise FileNotFoundError(f"no table at {root}")
+    return _snapshot(spark, root, snapshots[-1])
 
 
 def write_table(df: DataFrame, root: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as the next snapshot and return it as read back."""
     spark = df.sparkSession
     snapshots = _complete_snapshots(spark, root)
-    path = f"{root}/snapshot={snapshots[-1] + 1 if snapshots else 1}"
+    number = snapshots[-1] + 1 if snapshots else 1
+    schema, fs = _schema_file(spark, root, number)
+    stream = fs.create(schema, True)
+    stream.write(bytearray(df.schema.json().encode()))
+    stream.close()
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    return spark.read.parquet(path)
+    writer.parquet(f"{root}/snapshot={number}")
+    return _snapshot(spark, root, number)
 
 
 def profile_layout(profiles: DataFrame) -> DataFrame:
@@ -68,25 +95,38 @@ def latest_rows(df: DataFrame, key: list[str], order: list) -> DataFrame:
 
 
 def merge_rows(
-    old: DataFrame, new: DataFrame, key: list[str], optional: list[str] = ()
+    old: DataFrame, new: DataFrame, key: list[str], optional: list[str] = (),
+    derived: dict[str, str] | None = None,
 ) -> DataFrame:
     """Field-wise upsert of ``new`` into ``old``; both hold a key at most once.
 
     A matched row takes every new field, nulls included. ``optional`` fields, which a
-    source may lack, keep the stored value when the new one is null.
+    source may lack, keep the stored value when the new one is null. The result has the
+    columns of both sides: a column the batch lacks keeps its stored values, one the table
+    lacks is null for the rows stored before. ``derived`` names columns made from another
+    one: if the batch lacks such a column, its stored value goes where that other one changed.
     """
-    fields = [c for c in old.columns if c not in key]
-    joined = old.select(*key, F.struct(*fields).alias("_old")).join(
-        new.select(*key, F.struct(*fields).alias("_new")), key, "full_outer"
+    stored = [c for c in old.columns if c not in key]
+    added = [c for c in new.columns if c not in key and c not in stored]
+    given = [c for c in new.columns if c not in key]
+    joined = old.select(*key, F.struct(*stored).alias("_old")).join(
+        new.select(*key, F.struct(*given).alias("_new")), key, "full_outer"
+    )
+    matched = F.col("_new").isNotNull()
+
+    def merged(c: str) -> Column:
+        if c in added:
+            return F.col(f"_new.{c}")
+        if c not in given:
+            source = (derived or {}).get(c)
+            if source is None:
+                return F.col(f"_old.{c}")
+            same = F.col(f"_new.{source}").eqNullSafe(F.col(f"_old.{source}"))
+            return F.when(~matched | same, F.col(f"_old.{c}"))
+        if c in optional:
+            return F.coalesce(f"_new.{c}", f"_old.{c}")
+        return F.when(matched, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}"))
+
+    return joined.select(*key, *(merged(c).alias(c) for c in stored + added)).select(
+        *old.columns, *added
     )
-    return joined.select(
-        *key,
-        *(
-            F.coalesce(f"_new.{c}", f"_old.{c}").alias(c)
-            if c in optional
-            else F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}"))
-            .otherwise(F.col(f"_old.{c}"))
-            .alias(c)
-            for c in fields
-        ),
-    ).select(*old.columns)

@@ -83,7 +83,7 @@ def fold(events: DataFrame) -> DataFrame:
         .otherwise(F.concat(parts, F.array(e["text"]))),
         lambda parts: F.array_join(parts, ""),
     )
-    role = F.coalesce(F.filter(F.col("log.role"), lambda r: r.isNotNull())[0], F.lit(""))
+    role = F.coalesce(F.get(F.filter("log.role", lambda r: r.isNotNull()), F.lit(0)), F.lit(""))
     return folded.select("conv_id", "message", role.alias("role"), text.alias("text"))
 
 

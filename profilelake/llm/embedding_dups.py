@@ -30,15 +30,17 @@ STEPS = 40
 BLOCK = 256
 
 
-def rotations(sample: np.ndarray, bits: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and projection ``(dim, bits)``; a rotation per ``min(dim, 64)`` bits."""
+def rotations(sample: np.ndarray, bits: int, seed: int = 11) -> np.ndarray:
+    """Projection ``(dim, bits)``; a rotation per ``min(dim, 64)`` bits.
+
+    Directions are not centred: links are by cosine about the origin, and vectors in a narrow
+    cone, told apart by their mean, would hardly share a substring.
+    """
     rng = np.random.default_rng(seed)
-    mean = sample.mean(axis=0)
-    centred = sample - mean
     width = min(sample.shape[1], 64)
-    _, axes = np.linalg.eigh(centred.T @ centred)
+    _, axes = np.linalg.eigh(sample.T @ sample)
     axes = axes[:, ::-1][:, :width]
-    low = centred @ axes
+    low = sample @ axes
     parts = []
     for _ in range(-(-bits // width)):
         turn = np.linalg.qr(rng.standard_normal((width, width)))[0]
@@ -47,7 +49,7 @@ def rotations(sample: np.ndarray, bits: int, seed: int = 11) -> tuple[np.ndarray
             left, _, right = np.linalg.svd(signs.T @ low)
             turn = right.T @ left.T
         parts.append(axes @ turn)
-    return mean, np.concatenate(parts, axis=1)[:, :bits]
+    return np.concatenate(parts, axis=1)[:, :bits]
 
 
 def _directions(vectors: list[bytes], dtype: str) -> np.ndarray:
@@ -74,9 +76,9 @@ def _valid(dtype: str):
     return run
 
 
-def _keyed(mean: np.ndarray, projection: np.ndarray, dtype: str):
+def _keyed(projection: np.ndarray, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dim = len(mean)
+        dim = len(projection)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -85,7 +87,7 @@ def _keyed(mean: np.ndarray, projection: np.ndarray, dtype: str):
             x = np.stack([np.pad(v, (0, dim - len(v))) for v in raw])
             x /= np.maximum(np.abs(x).max(axis=1, keepdims=True), 1e-300)
             x /= np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-300)
-            keys = np.packbits((x - mean) @ projection >= 0, axis=1).view(">u2").astype(np.int32)
+            keys = np.packbits(x @ projection >= 0, axis=1).view(">u2").astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(list(keys), pa.list_(pa.int32()))],
                 names=[*batch.schema.names, "keys"])
@@ -177,10 +179,10 @@ def near_duplicates(vectors: DataFrame, least: float = COSINE, tables: int = TAB
         F.octet_length("vec") == common["size"]
     ).orderBy(F.xxhash64("vec"), "id").limit(sample).select("vec").collect()]
     basis = _directions(taken, dtype) if taken else np.eye(2)
-    mean, projection = rotations(basis, tables * KEY_BITS)
+    projection = rotations(basis, tables * KEY_BITS)
 
     keyed = stored(nodes.mapInArrow(
-        _keyed(mean, projection, dtype), "vec binary, id long, copies long, keys array<int>"), "codes")
+        _keyed(projection, dtype), "vec binary, id long, copies long, keys array<int>"), "codes")
     entries = keyed.select("id", F.posexplode("keys").alias("table", "key"))
     shared = entries.groupBy("table", "key").agg(F.count("*").alias("size")).where("size > 1")
     placed = entries.join(shared, ["table", "key"]).withColumn(

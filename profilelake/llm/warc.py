@@ -90,16 +90,17 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
         record_id.alias("record_id"), header.cast("binary").alias("header"), "key"
     ).write.parquet(f"{path}/records")
 
-    # the payload of each key is taken from the page that answers for it
-    holders = first.select("first.page_id", "first.url", F.col("key"))
-    same = [F.coalesce(rows.page_id, F.lit(-(2**63))) == F.coalesce(holders.page_id, F.lit(-(2**63))),
-            rows.url == holders.url]
+    # the payload of each key is taken from the page that answers for it; copies of that row fall
+    # away where the join has put them
+    none = F.lit(-(2**63))
+    holders = first.select(F.coalesce("first.page_id", none).alias("page"), "first.url", "key")
+    same = ["page", "url", "key"]
     (
-        rows.withColumn("_key", F.sha2("payload", 256)).join(
-            holders, [*same, F.col("_key") == holders.key])
+        rows.select(F.coalesce("page_id", none).alias("page"), "url",
+                    F.sha2("payload", 256).alias("key"), "payload")
+        .join(holders, same).dropDuplicates(same)
         .select("key", base32_sha1(F.col("payload")).alias("sha1"),
                 F.octet_length("payload").cast("long").alias("length"), "payload")
-        .dropDuplicates(["key"])
         .write.parquet(f"{path}/payloads")
     )
 

@@ -13,7 +13,7 @@ def test_core_only_ingest(spark, sf_dir):
     bronze = fixtures.bronze(spark, sf_dir)
     ingest.ingest(store, bronze.where("upper(source_file) not like 'S%' and profile_index is not null"))
     assert store.read("bgc_profiles").count() == 0 and store.read("profiles").count() > 0
-    assert "levels" in store.read("bgc_profiles").columns
+    assert "profile_id" in store.read("bgc_profiles").columns
 
 
 def test_missing_table_is_named(spark):

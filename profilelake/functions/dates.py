@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Accepted formats, tried in this order.
@@ -25,3 +25,13 @@ def date_filter(start: str | None = None, end: str | None = None, c: str = "time
         if bound is not None:
             keep = keep & F.expr(f"{c} {compare} timestamp_ntz'{bound:%Y-%m-%d %H:%M:%S}'")
     return keep
+
+
+def dated(df: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Rows within the dates; a table stored by ``year`` opens the years they reach only."""
+    rows = df.where(date_filter(start, end))
+    if "year" in df.columns:
+        for bound, compare in ((parse_date(start), ">="), (parse_date(end), "<=")):
+            if bound is not None:
+                rows = rows.where(f"year {compare} {bound.year}")
+    return rows

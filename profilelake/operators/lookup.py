@@ -4,12 +4,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from profilelake.functions.cleaning import iso_date
-from profilelake.functions.dates import date_filter
+from profilelake.functions.dates import dated
 from profilelake.schema import MAX_LEVELS_SHOWN, require_param
 from profilelake.sources.tables import latest_rows
 
-# a list of ids up to this long is broadcast; more ids must come as a DataFrame
-MAX_ID_LIST = 10_000
+# ids of a list up to this long are also written into the scan's filter
+LITERAL_IDS = 1_000
+
+# what a profile's data is shown with
+PROFILE_FACTS = [
+    "platform_number", "cycle_number", "timestamp", "latitude", "longitude",
+    "station_parameters", "data_mode", "max_pres",
+]
 
 
 def float_info(floats: DataFrame, platform_number: str | None = None) -> DataFrame:
@@ -56,7 +62,7 @@ def float_profiles(
     )
     order = Window.partitionBy("platform_number", "source").orderBy("cycle_number", "profile_id")
     first = (
-        both.where(date_filter(start_date, end_date))
+        dated(both, start_date, end_date)
         .select(
             "source", "platform_number", "profile_id", "cycle_number", "timestamp", "latitude",
             "longitude", "n_levels", "station_parameters", "data_mode",
@@ -90,24 +96,37 @@ def explode_levels(
 
 
 def requests(spark: SparkSession, ids: list[str] | DataFrame) -> DataFrame:
-    """Wanted ids as (requested_id, position); a DataFrame of ids has no positions."""
+    """Wanted ids as (requested_id, position): places in the list, or the ``position`` column
+    of a DataFrame of ids, null where it has none."""
     if isinstance(ids, DataFrame):
-        return ids.selectExpr("profile_id as requested_id", "cast(null as int) as position")
-    if len(ids) > MAX_ID_LIST:
-        raise ValueError(f"more than {MAX_ID_LIST} ids: pass them as a DataFrame")
+        position = "position" if "position" in ids.columns else "null"
+        return ids.selectExpr("profile_id as requested_id", f"cast({position} as bigint) as position")
     return spark.createDataFrame(
-        [(pid, i) for i, pid in enumerate(ids)], "requested_id string, position int"
+        [(pid, i) for i, pid in enumerate(ids)], "requested_id string, position bigint"
     )
 
 
+def _among(profiles: DataFrame, ids: list[str] | DataFrame, suffixed: bool = False) -> DataFrame:
+    """Rows that a short list of ids can mean, tested in the scan.
+
+    Stored files are sorted by platform, with which an id starts, so most are skipped.
+    """
+    if isinstance(ids, DataFrame) or len(ids) > LITERAL_IDS:
+        return profiles
+    names = {pid for pid in ids if pid is not None}
+    if suffixed:
+        names |= {f"{pid}_BGC" for pid in names}
+    return profiles.where(F.col("profile_id").isin(sorted(names)))
+
+
 def lookup_profiles(
     profiles: DataFrame, bgc: DataFrame, ids: list[str] | DataFrame, columns: list[str]
 ) -> DataFrame:
     """The profile behind each id: the core table's, else the BGC table's by the same id,
     else the BGC table's by the id with its suffix. Unknown ids give no row.
 
-    A short list is broadcast, so the profile tables are not shuffled; ids in a DataFrame
-    are made distinct and joined the way Spark sees fit.
+    Ids are made distinct and joined the way Spark sees fit, which broadcasts few of them;
+    a short list also reaches the scan.
     """
     spark = profiles.sparkSession
     wanted = requests(spark, ids)
@@ -119,15 +138,14 @@ def lookup_profiles(
         "struct(concat(requested_id, '_BGC') as profile_id, 1 as pref))))",
     )
     core_keys = distinct.selectExpr("requested_id", "requested_id as profile_id", "3 as pref")
-    if not isinstance(ids, DataFrame):
-        keys, core_keys = F.broadcast(keys), F.broadcast(core_keys)
+    core, suffixed = _among(profiles, ids), _among(bgc, ids, suffixed=True)
     fields = ["profile_id", *(c for c in columns if c != "profile_id")]
     found = (
-        profiles.select(*fields)
+        core.select(*fields)
         .join(core_keys, "profile_id")
         .withColumn("source", F.lit("core"))
         .unionByName(
-            bgc.select(*fields).join(keys, "profile_id").withColumn("source", F.lit("bgc"))
+            suffixed.select(*fields).join(keys, "profile_id").withColumn("source", F.lit("bgc"))
         )
     )
     best = latest_rows(found, ["requested_id"], ["pref"]).drop("pref")
@@ -158,7 +176,8 @@ def profile_data(
     use_adjusted: bool = False,
     max_levels: int = MAX_LEVELS_SHOWN,
 ) -> DataFrame:
-    """The first levels of each wanted profile: depth, values and quality flags.
+    """The first levels of each wanted profile: depth, values and quality flags, beside the
+    profile's place, date, station parameters, data mode and greatest depth.
 
     The adjusted value falls back to the raw one only where the profile has no adjusted
     variable at all. Levels without pressure are kept.
@@ -167,10 +186,9 @@ def profile_data(
     fields, outputs = _values([require_param(p) for p in names], use_adjusted)
     found = lookup_profiles(
         profiles, bgc, ids,
-        ["platform_number", "cycle_number", "timestamp", "n_levels", "available_vars",
-         "measurements"],
+        [*PROFILE_FACTS, "n_levels", "available_vars", "measurements"],
     )
-    facts = ["requested_id", "profile_id", "platform_number", "cycle_number", "timestamp"]
+    facts = ["requested_id", "profile_id", *PROFILE_FACTS]
     shown = ["n_levels as total_levels", f"least({max_levels}, n_levels) as showing_levels"]
     levels = explode_levels(found, [*facts, *shown, "available_vars"], fields, max_levels)
     return levels.selectExpr(*facts, "total_levels", "showing_levels", "level", *outputs)

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from profilelake.functions.cleaning import iso_date
 from profilelake.operators.lookup import tagged, explode_levels, lookup_profiles
-from profilelake.schema import require_param
+from profilelake.schema import LEVEL, require_param
 
+# Fixed values below: labels, summary sentences and the names in a specification.
 LABEL = "concat(coalesce(platform_number, '?'), '@c', coalesce(cast(cycle_number as string), '?'))"
 
 
@@ -49,6 +50,16 @@ def _found(
     })
 
 
+def level_fields(parameters: list[str] | str) -> list[str]:
+    """Lower-cased names of level fields; ValueError for one that no level has."""
+    names = parameters.split(",") if isinstance(parameters, str) else parameters
+    fields = list(dict.fromkeys(p.strip().lower() for p in names))
+    for field in fields:
+        if field not in LEVEL.names:
+            raise ValueError(f"levels have no field {field!r}")
+    return fields
+
+
 def _levels(
     profiles: DataFrame,
     bgc: DataFrame,
@@ -67,10 +78,12 @@ def depth_series(
     ids: list[str] | DataFrame | None,
     parameters: list[str] | str = "temp",
 ) -> DataFrame:
-    """(profile, parameter, depth, value) rows in stored level order, nulls left out."""
-    names = parameters.split(",") if isinstance(parameters, str) else parameters
-    keys = list(dict.fromkeys(require_param(p) for p in names))
-    pairs = ", ".join(f"'{p}', m.{p}" for p in keys)
+    """(profile, parameter, depth, value) rows in stored level order, nulls left out.
+
+    Any field of a level can be drawn, adjusted values and flags too.
+    """
+    keys = level_fields(parameters)
+    pairs = ", ".join(f"'{p}', cast(m.{p} as double)" for p in keys)
     return (
         _levels(profiles, bgc, ids, keys)
         .selectExpr(
@@ -159,76 +172,118 @@ def trajectory_spec(profiles: DataFrame, floats: DataFrame, platform_number: str
     )
 
 
+def _shown(value: str) -> str:
+    """A value inside a summary sentence; a missing one reads None."""
+    return f"coalesce(cast({value} as string), 'None')"
+
+
 def depth_spec(
     profiles: DataFrame,
     bgc: DataFrame,
     ids: list[str] | DataFrame | None,
     parameters: list[str] | str = "temp",
 ) -> DataFrame:
-    """Depth-chart specification per profile."""
+    """Depth-chart specification and summary sentence per profile."""
     names = parameters.split(",") if isinstance(parameters, str) else parameters
-    found = _found(profiles, bgc, ids, ["platform_number", "cycle_number"])
-    listed = F.array(*(F.lit(p.strip().lower()) for p in names)).alias("parameters")
+    names = [p.strip().lower() for p in names]
+    found = _found(
+        profiles, bgc, ids,
+        ["platform_number", "cycle_number", "timestamp", "latitude", "longitude"],
+    )
+    title = F.lit(f"Depth profile chart for {', '.join(p.upper() for p in names)} on profile ")
+    facts = F.expr(
+        f"concat(profile_id, ' (float ', {_shown('platform_number')}, ', cycle ', "
+        f"{_shown('cycle_number')}, ', date: ', {_shown(iso_date('timestamp'))}, ', lat: ', "
+        f"{_shown('latitude')}, ', lon: ', {_shown('longitude')}, ').')"
+    )
     return found.select(
         "requested_id",
         "profile_id",
-        _intent("chart_depth_profile", F.struct("profile_id", listed)),
+        F.concat(title, facts).alias("summary"),
+        _intent(
+            "chart_depth_profile",
+            F.struct("profile_id", F.array(*map(F.lit, names)).alias("parameters")),
+        ),
+    )
+
+
+def _one_spec(found: DataFrame, kind: str, entry: Column, params, summary) -> DataFrame:
+    """One specification of the profiles found for a list, in the list's order.
+
+    The row holds what the caller listed. Nothing found gives no row.
+    """
+    rows = F.array_sort(F.collect_list(F.struct("position", entry.alias("entry"))))
+    return found.agg(rows.getField("entry").alias("r")).where("size(r) > 0").select(
+        summary.alias("summary"), _intent(kind, F.struct(*params))
     )
 
 
 def list_spec(
-    profiles: DataFrame, bgc: DataFrame, ids: list[str], kind: str, **settings: str
+    profiles: DataFrame,
+    bgc: DataFrame,
+    ids: list[str] | DataFrame,
+    kind: str,
+    title: str,
+    named: str = "label",
+    count_word: str = "profile(s)",
+    **settings: str,
 ) -> DataFrame:
-    """One specification for a list of profiles, ids and labels in the order given.
+    """Specification and summary of a chart of several profiles.
 
-    ``lookup_profiles`` bounds the list, so the one row stays small.
+    A list of ids gives one row, ids and labels in the order given. A DataFrame of ids, of
+    any size, gives a row per profile (position, profile_id, label) beside the kind and
+    settings of the chart, so that no row grows with the number of profiles.
     """
-    if isinstance(ids, DataFrame):
-        raise TypeError("a chart of several profiles takes a list of ids")
     found = lookup_profiles(profiles, bgc, ids, ["platform_number", "cycle_number"])
-    rows = F.array_sort(F.collect_list(F.struct("position", "profile_id", F.expr(LABEL).alias("label"))))
-    return found.agg(rows.alias("r")).where("size(r) > 0").select(
-        _intent(
-            kind,
-            F.struct(
-                F.col("r.profile_id").alias("profile_ids"),
-                *(F.lit(v).alias(k) for k, v in settings.items()),
-                F.col("r.label").alias("labels"),
-            ),
+    fixed = [F.lit(v).alias(k) for k, v in settings.items()]
+    if isinstance(ids, DataFrame):
+        return found.select(
+            "position", "profile_id", F.expr(LABEL).alias("label"),
+            _intent(kind, F.struct(*fixed) if fixed else F.lit(None)),
         )
+    entry = F.struct("profile_id", F.expr(LABEL).alias("label"))
+    summary = F.concat(
+        F.lit(f"{title} for "), F.size("r").cast("string"), F.lit(f" {count_word}: "),
+        F.array_join(F.col(f"r.{named}"), ", "), F.lit("."),
     )
+    params = [F.col("r.profile_id").alias("profile_ids"), *fixed, F.col("r.label").alias("labels")]
+    return _one_spec(found, kind, entry, params, summary)
 
 
-def ts_spec(profiles: DataFrame, bgc: DataFrame, ids: list[str]) -> DataFrame:
-    return list_spec(profiles, bgc, ids, "chart_ts_diagram")
+def ts_spec(profiles: DataFrame, bgc: DataFrame, ids: list[str] | DataFrame) -> DataFrame:
+    return list_spec(profiles, bgc, ids, "chart_ts_diagram", "T-S Diagram", named="profile_id")
 
 
 def comparison_spec(
-    profiles: DataFrame, bgc: DataFrame, ids: list[str], parameter: str = "temp"
+    profiles: DataFrame, bgc: DataFrame, ids: list[str] | DataFrame, parameter: str = "temp"
 ) -> DataFrame:
-    return list_spec(profiles, bgc, ids, "chart_comparison", parameter=parameter.lower())
+    key = parameter.lower()
+    return list_spec(
+        profiles, bgc, ids, "chart_comparison", f"Comparing {key.upper()} vs depth",
+        count_word="profiles", parameter=key,
+    )
 
 
 def scatter_spec(
-    profiles: DataFrame, bgc: DataFrame, ids: list[str], param_x: str = "psal", param_y: str = "temp"
+    profiles: DataFrame, bgc: DataFrame, ids: list[str] | DataFrame, param_x: str = "psal",
+    param_y: str = "temp",
 ) -> DataFrame:
+    x, y = require_param(param_x), require_param(param_y)
     return list_spec(
-        profiles, bgc, ids, "chart_parameter_scatter",
-        param_x=require_param(param_x), param_y=require_param(param_y),
+        profiles, bgc, ids, "chart_parameter_scatter", f"{x.upper()} vs {y.upper()} scatter",
+        param_x=x, param_y=y,
     )
 
 
-def markers_spec(profiles: DataFrame, bgc: DataFrame, ids: list[str]) -> DataFrame:
-    """Map specification of a list of profiles with their positions."""
+def markers_spec(profiles: DataFrame, bgc: DataFrame, ids: list[str] | DataFrame) -> DataFrame:
+    """Map specification and summary of a list of profiles with their positions.
+
+    A DataFrame of ids gives the markers themselves, a row each.
+    """
     found = markers(profiles, bgc, ids)
+    if isinstance(ids, DataFrame):
+        return found
     place = F.struct("profile_id", "platform_number", "lat", "lon", "date", "cycle_number")
-    rows = F.array_sort(F.collect_list(F.struct("position", place.alias("place"))))
-    return found.agg(rows.alias("r")).where("size(r) > 0").select(
-        _intent(
-            "map_markers",
-            F.struct(
-                F.col("r.place.profile_id").alias("profile_ids"),
-                F.col("r.place").alias("locations"),
-            ),
-        )
-    )
+    summary = F.concat(F.lit("Map with "), F.size("r").cast("string"), F.lit(" profile markers."))
+    params = [F.col("r.profile_id").alias("profile_ids"), F.col("r").alias("locations")]
+    return _one_spec(found, "map_markers", place, params, summary)

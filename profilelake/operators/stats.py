@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from profilelake.functions.dates import date_filter
+from profilelake.functions.dates import dated
 from profilelake.schema import COLLECTIONS, QUERY_BGC_PARAMS, require_param
 
 
@@ -42,7 +42,7 @@ def aggregate_statistics(
         f"and {float(max_depth)!r}D and m.{key} is not null), m -> m.{key})"
     )
     per_profile = (
-        table.where(date_filter(start_date, end_date))
+        dated(table, start_date, end_date)
         .select(inside.alias("v"))
         .selectExpr(
             "size(v) as n",
@@ -78,8 +78,8 @@ def level_statistics(
     """
     key = require_param(parameter)
     per_profile = (
-        levels.where(F.col("pres").between(min_depth, max_depth) & F.col(key).isNotNull())
-        .where(date_filter(start_date, end_date))
+        dated(levels, start_date, end_date)
+        .where(F.col("pres").between(min_depth, max_depth) & F.col(key).isNotNull())
         .groupBy("profile_id")
         .agg(
             F.sum(key).alias("total"),

@@ -3,7 +3,7 @@
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from profilelake.functions.cleaning import iso_date
@@ -29,7 +29,8 @@ def search_rows(hits: DataFrame) -> DataFrame:
 
 
 class Engine:
-    """Retrieval, search and chart-series tools. Every method returns a lazy DataFrame."""
+    """Retrieval, search and chart-series tools. Every method returns a DataFrame; searches
+    collect their query vectors while the plan is built."""
 
     def __init__(self, store: Store, make_model: Callable = vectors.hashing_model):
         self.store = store
@@ -102,13 +103,31 @@ class Engine:
         return self._dated(self.query_collection("profiles", query, limit), self.profiles)
 
     def search_bgc_profiles(self, bgc_parameter: str, limit: int = 5) -> DataFrame:
-        """BGC profiles that measure the parameter, best match of the fixed sentence first."""
+        """BGC profiles that measure the parameter, best match of the fixed sentence first.
+
+        Without documents of BGC profiles the table answers, in the order of its ids and
+        without a relevance.
+        """
         name = bgc_parameter.upper()
+        if not self.store.exists("documents") or self.documents.where(
+            "collection = 'bgc_profiles'"
+        ).isEmpty():
+            return self._bgc_rows(name, limit)
         sentence = f"BGC profile measuring {name} dissolved oxygen chlorophyll"
         measures = F.array_contains("metadata.bgc_parameters", name)
         hits = self.query_collection("bgc_profiles", sentence, limit, measures)
         return self._dated(hits, self.bgc_profiles)
 
+    def _bgc_rows(self, name: str, limit: int) -> DataFrame:
+        rows = self.bgc_profiles.where(F.array_contains("bgc_parameters", name)).orderBy("profile_id")
+        ranked = F.row_number().over(Window.partitionBy("query_id").orderBy("profile_id"))
+        return rows.limit(limit).withColumn("query_id", F.lit(0)).select(
+            "profile_id", "query_id", ranked.alias("rank"), "platform_number", "latitude",
+            "longitude", F.lit(None).cast("double").alias("relevance"),
+            F.lit(None).cast("string").alias("summary"),
+            F.expr(iso_date("timestamp")).alias("date"),
+        )
+
     def get_float_info(self, platform_number: str) -> DataFrame:
         return lookup.float_info(self.floats, platform_number)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import oracle_text as sql
 from profilelake.functions import cleaning as cl
 from profilelake.functions import text as tx
-from profilelake.functions.dates import date_filter
+from profilelake.functions.dates import dated
 from profilelake.operators import (
     checks,
     documents,
@@ -705,7 +705,9 @@ WORDS = sql.words("documents", "doc_id", "text")
 @query("embed_documents", f"""
     SELECT doc_id AS id, count(*) AS buckets_used, round(max(n) / sqrt(sum(n * n)), 4) AS top_value,
       min(bucket) AS first_bucket, max(bucket) AS last_bucket
-    FROM ({WORDS}) GROUP BY doc_id""")
+    FROM ({WORDS}) GROUP BY doc_id
+    UNION ALL SELECT doc_id, 0, 0, NULL, NULL FROM documents
+    WHERE doc_id NOT IN (SELECT doc_id FROM ({WORDS}))""")
 def embed_documents(spark, sf_dir):
     texts = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(
         "doc_id as id", "text as document"
@@ -719,7 +721,7 @@ def embed_documents(spark, sf_dir):
         "round(cast(array_max(v) as double), 4) as top_value",
         "cast(get(used, 0) as bigint) as first_bucket",
         "cast(try_element_at(used, -1) as bigint) as last_bucket",
-    ).where("top_value > 0")
+    )
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -927,20 +929,24 @@ def lookup_profile(lake):
     SELECT asked AS requested_id, a.profile_id, n_levels AS total_levels,
       least(5, n_levels) AS showing_levels, level, pres AS depth_m,
       CASE WHEN p.k % 5 = 0 THEN temp ELSE temp_adjusted END AS temp,
-      CASE WHEN p.k % 5 <> 0 THEN 2 END AS temp_qc, psal, CAST(NULL AS INTEGER) AS psal_qc
+      CASE WHEN p.k % 5 <> 0 THEN 2 END AS temp_qc, psal, CAST(NULL AS INTEGER) AS psal_qc,
+      p.latitude, p.longitude, array_to_string(p.stations, ', ') AS station_parameters,
+      p.data_mode, p.max_pres
     FROM answers a JOIN prof p ON p.profile_id = a.profile_id JOIN lev USING (k)
     WHERE level < 5"""))
 def profile_data(lake):
     return lookup.profile_data(
         lake.profiles, lake.bgc_profiles, asked_ids(lake), "temp,psal", True, max_levels=5
-    ).drop("platform_number", "cycle_number", "timestamp")
+    ).drop("platform_number", "cycle_number", "timestamp").withColumn(
+        "station_parameters", F.array_join("station_parameters", ", ")
+    )
 
 
 @on_lake("date_filter", sql.query(sql.LEVELS, """
     SELECT profile_id FROM prof WHERE file_type <> 'synthetic_bgc'
       AND ts >= TIMESTAMP '1997-05-01' AND ts <= TIMESTAMP '1999-12-31 12:00:00'"""))
 def date_filter_query(lake):
-    return lake.profiles.where(date_filter("1997-05", "1999-12-31T12:00:00Z")).select("profile_id")
+    return dated(lake.profiles, "1997-05", "1999-12-31T12:00:00Z").select("profile_id")
 
 
 HAVERSINE = """(2 * 6378.1 * asin(sqrt(least(1, pow(sin(radians(latitude - lat) / 2), 2)
@@ -1050,10 +1056,74 @@ def markers(lake):
 
 @on_lake("chart_spec", sql.query(sql.LEVELS, """
     SELECT profile_id, '{"type":"chart_depth_profile","params":{"profile_id":"' || profile_id
-      || '","parameters":["temp","psal"]}}' AS chart_spec FROM prof"""))
+      || '","parameters":["temp","psal"]}}' AS chart_spec,
+      'Depth profile chart for TEMP, PSAL on profile ' || profile_id || ' (float '
+        || platform_number || ', cycle ' || coalesce(CAST(cycle_number AS VARCHAR), 'None')
+        || ', date: ' || coalesce(""" + sql.iso("ts") + """, 'None') AS summary_start FROM prof"""))
 def chart_spec(lake):
-    return series.depth_spec(lake.profiles, lake.bgc_profiles, None, "temp, psal").select(
-        "profile_id", "chart_spec"
+    return series.depth_spec(lake.profiles, lake.bgc_profiles, None, "temp, psal").selectExpr(
+        "profile_id", "chart_spec", "substring_index(summary, ', lat: ', 1) as summary_start"
+    )
+
+
+def _listed(lake: Lake) -> list[str]:
+    """Four ids to draw together: the last of the core table, then the first of the BGC table."""
+    core = lake.profiles.select("profile_id").orderBy(F.desc("profile_id")).limit(2)
+    bgc = lake.bgc_profiles.select("profile_id").orderBy("profile_id").limit(2)
+    return [r.profile_id for part in (core, bgc) for r in part.collect()]
+
+
+LISTED = f""", listed AS (
+  SELECT * FROM (SELECT *, row_number() OVER (ORDER BY profile_id DESC) AS place FROM prof
+    WHERE file_type <> 'synthetic_bgc') WHERE place <= 2
+  UNION ALL SELECT * FROM (SELECT *, 2 + row_number() OVER (ORDER BY profile_id) AS place FROM prof
+    WHERE file_type = 'synthetic_bgc') WHERE place <= 4
+), facts AS (
+  SELECT count(*) AS n, string_agg(profile_id, ', ' ORDER BY place) AS ids,
+    string_agg(label, ', ' ORDER BY place) AS labels,
+    string_agg('"' || profile_id || '"', ',' ORDER BY place) AS id_list,
+    string_agg('"' || label || '"', ',' ORDER BY place) AS label_list
+  FROM (SELECT *, {LABEL} FROM listed)
+)"""
+
+SPECS = """
+    SELECT 'T-S Diagram for ' || n || ' profile(s): ' || ids || '.' AS summary,
+      '{"type":"chart_ts_diagram","params":{"profile_ids":[' || id_list || '],"labels":['
+        || label_list || ']}}' AS chart_spec FROM facts
+    UNION ALL SELECT 'Comparing DOXY vs depth for ' || n || ' profiles: ' || labels || '.',
+      '{"type":"chart_comparison","params":{"profile_ids":[' || id_list
+        || '],"parameter":"doxy","labels":[' || label_list || ']}}' FROM facts
+    UNION ALL SELECT 'CHLA vs DOXY scatter for ' || n || ' profile(s): ' || labels || '.',
+      '{"type":"chart_parameter_scatter","params":{"profile_ids":[' || id_list
+        || '],"param_x":"chla","param_y":"doxy","labels":[' || label_list || ']}}' FROM facts
+    UNION ALL SELECT 'Map with ' || n || ' profile markers.',
+      '{"type":"map_markers","ids":[' || id_list || ']}' FROM facts"""
+
+
+@on_lake("list_specs", sql.query(sql.LEVELS + LISTED, SPECS))
+def list_specs(lake):
+    tables_ = (lake.profiles, lake.bgc_profiles, _listed(lake))
+    charts = series.ts_spec(*tables_).unionByName(
+        series.comparison_spec(*tables_, "DOXY")
+    ).unionByName(series.scatter_spec(*tables_, "chla", "doxy"))
+    # numbers in the positions print differently in SQL; the ids show order and completeness
+    ids = ("to_json(struct('map_markers' as type, from_json(chart_spec, "
+           "'params struct<profile_ids: array<string>>').params.profile_ids as ids)) as chart_spec")
+    return charts.unionByName(series.markers_spec(*tables_).selectExpr("summary", ids))
+
+
+@on_lake("trajectory_spec", sql.query(sql.FLOATS, """
+    SELECT platform_number, '{"type":"map_trajectory","params":{"platform_number":"'
+      || platform_number || '","total_points":' || coalesce(n, 0) || '}}' AS chart_spec,
+      'Float ' || platform_number || ' (' || coalesce(platform_type, '?') || '): ' || total_cycles
+        || ' cycles from' AS summary_start,
+      'Trajectory has ' || coalesce(n, 0) || ' data points.' AS summary_end
+    FROM floats LEFT JOIN (SELECT platform_number, count(*) AS n FROM core GROUP BY ALL)
+      USING (platform_number)"""))
+def trajectory_spec(lake):
+    return series.trajectory_spec(lake.profiles, lake.floats).selectExpr(
+        "platform_number", "chart_spec", "regexp_extract(summary, '^.* cycles from', 0) as summary_start",
+        "regexp_extract(summary, 'Trajectory has.*', 0) as summary_end",
     )
 
 

@@ -32,9 +32,47 @@ def test_lookup_falls_back_in_order(lake, some_ids):
         (0, core[0]), (1, bgc), (2, bgc), (4, core[0])]
 
 
-def test_id_list_is_bounded(lake):
+def test_ids_of_any_number_keep_their_order(spark, lake, some_ids):
+    core, bgc = some_ids
+    many = ["x"] * 10_001 + [core[1], bgc]
+    got = lookup.lookup_profiles(lake.profiles, lake.bgc_profiles, many, []).collect()
+    assert sorted((r.position, r.profile_id) for r in got) == [(10_001, core[1]), (10_002, bgc)]
+    frame = spark.createDataFrame(list(zip(many, range(len(many)))), "profile_id string, position int")
+    got = series.ts_spec(lake.profiles, lake.bgc_profiles, frame).collect()
+    assert sorted((r.position, r.profile_id) for r in got) == [(10_001, core[1]), (10_002, bgc)]
+    assert lookup.lookup_profiles(lake.profiles, lake.bgc_profiles, [], []).count() == 0
+
+
+def test_ids_and_years_reach_the_scan(lake, some_ids):
+    def scans(df):
+        df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", 10_000)
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    found = scans(lookup.profile_data(lake.profiles, lake.bgc_profiles, some_ids[0][:1]))
+    assert f"EqualTo(profile_id,{some_ids[0][0]})" in found
+    rows = scans(stats.aggregate_statistics(
+        lake.profiles, lake.bgc_profiles, 0, 100, "temp", "1996-01-01", "1997-01-01"))
+    assert "(year#" in rows.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_any_level_field_can_be_drawn(engine, some_ids):
+    core, bgc = some_ids
+    assert engine.profile_depth_series(bgc, "chla_fluorescence").count() >= 0
+    rows = engine.profile_depth_series(core[0], "temp,temp_adjusted,temp_qc").collect()
+    assert {r.parameter for r in rows} <= {"temp", "temp_adjusted", "temp_qc"}
     with pytest.raises(ValueError):
-        lookup.lookup_profiles(lake.profiles, lake.bgc_profiles, ["x"] * 10_001, [])
+        engine.profile_depth_series(core[0], "salt")
+
+
+def test_bgc_search_without_documents(spark, sf_dir):
+    from profilelake.plans import ingest
+    from profilelake.session import fresh_path
+    from profilelake.sources import fixtures
+
+    store = ingest.Store(spark, fresh_path(spark, "no-documents"))
+    ingest.ingest(store, fixtures.bronze(spark, sf_dir))
+    got = Engine(store).search_bgc_profiles("doxy", 3).collect()
+    assert [r.rank for r in got] == [1, 2, 3] and got == sorted(got, key=lambda r: r.profile_id)
 
 
 def test_profile_data_adjusted_falls_back_only_without_variable(spark):
@@ -42,7 +80,8 @@ def test_profile_data_adjusted_falls_back_only_without_variable(spark):
     rows = [("a", ["temp", "temp_adjusted"], [(None, 5.0, 1, None, 2)]), ("b", ["temp"], [(1.0, 6.0, 1, None, None)])]
     df = spark.createDataFrame(rows, f"profile_id string, available_vars array<string>, measurements array<{level}>")
     df = df.selectExpr("*", "'p' as platform_number", "1 as cycle_number", "1 as n_levels",
-                       "cast(null as timestamp_ntz) as timestamp")
+                       "cast(null as timestamp_ntz) as timestamp", "1D as latitude", "1D as longitude",
+                       "array('TEMP') as station_parameters", "'D' as data_mode", "1D as max_pres")
     got = {r.profile_id: (r.depth_m, r.temp, r.temp_qc) for r in
            lookup.profile_data(df, df.limit(0), ["a", "b"], "temp, pres", True).collect()}
     assert got == {"a": (None, None, 2), "b": (1.0, 6.0, None)}
@@ -105,6 +144,9 @@ def test_chart_specs_keep_input_order(engine, some_ids):
     spec = json.loads(engine.visualize_ts_diagram(wanted).first().chart_spec)
     assert spec["params"]["profile_ids"] == [core[2], bgc, core[0]]
     assert len(spec["params"]["labels"]) == 3
+    assert engine.visualize_ts_diagram(wanted).first().summary == (
+        f"T-S Diagram for 3 profile(s): {core[2]}, {bgc}, {core[0]}.")
+    assert engine.map_marker_display(wanted).first().summary == "Map with 3 profile markers."
     spec = json.loads(engine.compare_profiles_depth(wanted, "TEMP").first().chart_spec)
     assert spec["params"]["parameter"] == "temp"
     spec = json.loads(engine.visualize_parameter_scatter(wanted, "temp", "doxy").first().chart_spec)

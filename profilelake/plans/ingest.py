@@ -1,5 +1,6 @@
 """Batch ingest: bronze rows into the profile tables, the float table and the quarantine."""
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -8,16 +9,17 @@ from pyspark.sql import functions as F
 from profilelake.operators import rollup
 from profilelake.operators.normalize import (
     ROW_ERROR,
-    bgc_profiles,
-    core_profiles,
     normalize,
     quarantine,
     with_source,
 )
-from profilelake.schema import OPTIONAL_COLUMNS
+from profilelake.schema import BRONZE, OPTIONAL_COLUMNS
 from profilelake.sources import tables
 
 
+PROFILE_TABLES = ["profiles", "bgc_profiles"]
+
+
 @dataclass(frozen=True)
 class Store:
     """Where the tables of one lake live."""
@@ -61,9 +63,40 @@ def upsert_profiles(store: Store, table: str, profiles: DataFrame) -> DataFrame:
     named = profiles.withColumn("profile_id", F.expr(f"coalesce(profile_id, {unnamed})"))
     batch = one_per_id(named)
     if store.exists(table):
-        old = store.read(table).drop("year")
-        batch = tables.merge_rows(old, batch, ["profile_id"], OPTIONAL_COLUMNS)
-    return tables.write_table(tables.profile_layout(batch), store.path(table), "year")
+        # stored first, since its ids and its rows are read apart
+        folder = f"{store.path('staged')}/{table}-{uuid.uuid4().hex}"
+        batch.write.parquet(folder)
+        batch = store.spark.read.schema(batch.schema).parquet(folder)
+    return merge_profiles(store, table, batch)
+
+
+def merge_profiles(
+    store: Store, table: str, batch: DataFrame, sources: DataFrame | None = None
+) -> DataFrame:
+    """Merge rows, one per id, into a profile table; the cost follows the years they touch.
+
+    Only the years of the new rows and of the stored rows they replace are read in full and
+    written. Of the other years the ids are read. ``sources`` are stored rows that ``batch``
+    is derived from, if it is not itself stored.
+    """
+    path = store.path(table)
+    if not store.exists(table):
+        return tables.write_table(tables.profile_layout(batch), path, "year")
+    old = store.read(table)
+    new = (batch if sources is None else sources).select(
+        "profile_id", F.year("timestamp").alias("year")
+    )
+    replaced = old.select("profile_id", "year").join(new, "profile_id", "left_semi")
+    years = [r.year for r in new.union(replaced).select("year").distinct().collect()]
+    if not years:
+        return old
+    touched = F.col("year").isin([y for y in years if y is not None])
+    if None in years:
+        touched = touched | F.col("year").isNull()
+    merged = tables.merge_rows(
+        old.where(touched).drop("year"), batch, ["profile_id"], OPTIONAL_COLUMNS
+    )
+    return tables.replace_partitions(tables.profile_layout(merged), path, "year", years)
 
 
 def write_floats(store: Store, floats: DataFrame) -> DataFrame:
@@ -75,13 +108,75 @@ def write_floats(store: Store, floats: DataFrame) -> DataFrame:
     return tables.write_table(floats, store.path("floats"))
 
 
-def ingest(store: Store, bronze: DataFrame) -> None:
-    """Run every stage of a batch. The file type picks the table before rows are cleaned."""
-    profiles = normalize(bronze)
-    core = upsert_profiles(store, "profiles", core_profiles(profiles))
-    bgc = upsert_profiles(store, "bgc_profiles", bgc_profiles(profiles))
-    write_floats(store, rollup.build_floats(core, bgc))
-    quarantine(bronze).write.mode("overwrite").parquet(store.path("quarantine"))
+def merge_floats(store: Store, changed: DataFrame) -> DataFrame:
+    """Roll up anew the floats that ``changed`` (platform_number) names and merge them."""
+    core, bgc = (store.read(t) for t in PROFILE_TABLES)
+    if store.exists("floats"):
+        names = changed.select("platform_number").distinct()
+        core, bgc = (t.join(names, "platform_number", "left_semi") for t in (core, bgc))
+    return write_floats(store, rollup.build_floats(core, bgc))
+
+
+def stage(store: Store, bronze: DataFrame, folder: str, run: str) -> None:
+    """Clean a delivery and store it: profiles, one per id, by table, and the rejected rows.
+
+    Ids of the two tables differ by their suffix, so the id alone is the key. The rejected
+    rows of every run stay; a run that is repeated overwrites its own.
+    """
+    table = F.when(F.col("file_type") == "synthetic_bgc", "bgc_profiles").otherwise("profiles")
+    one_per_id(normalize(bronze)).withColumn("table_name", table).write.mode(
+        "overwrite"
+    ).partitionBy("table_name").parquet(folder)
+    quarantine(bronze).write.mode("overwrite").parquet(f"{store.path('quarantine')}/run={run}")
+
+
+def read_staged(store: Store, base: str, *folders: str) -> DataFrame:
+    """Profiles that ``stage`` stored, by their declared schema, with the folder columns."""
+    spark = store.spark
+    schema = normalize(spark.createDataFrame([], BRONZE)).schema.add("table_name", "string")
+    return spark.read.schema(schema).option("basePath", base).parquet(*folders)
+
+
+def ingest(store: Store, bronze: DataFrame) -> str:
+    """Run every stage of a batch; returns the name of the run, for ``run_report``.
+
+    The landing rows are cleaned once, into a folder of the run, and merged from there.
+    """
+    run = uuid.uuid4().hex
+    folder = f"{store.path('staged')}/{run}"
+    stage(store, bronze, folder, run)
+    staged = read_staged(store, folder, folder)
+    for table in PROFILE_TABLES:
+        merge_profiles(store, table, staged.where(F.col("table_name") == table).drop("table_name"))
+    merge_floats(store, staged)
+    return run
+
+
+def run_report(store: Store, run: str) -> DataFrame:
+    """What a batch run wrote, rejected and left: (measure, rows)."""
+    folder = f"{store.path('staged')}/{run}"
+    staged = read_staged(store, folder, folder).agg(
+        *(F.count_if(F.col("table_name") == t).alias(f"written_{t}") for t in PROFILE_TABLES)
+    )
+    rejected = rejected_rows(store, run).agg(
+        F.count("*").alias("rejected_rows"),
+        F.count_distinct(F.when(F.col("file_failed"), F.col("source_file"))).alias("failed_files"),
+    )
+    counts = table_counts(store).selectExpr("concat('stored_', table_name) as measure", "rows")
+    for measures in (staged, rejected):
+        pairs = ", ".join(f"'{c}', {c}" for c in measures.columns)
+        counts = counts.unionByName(
+            measures.selectExpr(f"stack({len(measures.columns)}, {pairs}) as (measure, rows)")
+        )
+    return counts
+
+
+def rejected_rows(store: Store, run: str | None = None) -> DataFrame:
+    """The quarantine: rejected rows of one run, or of all with the ``run`` they are from."""
+    path = store.path("quarantine")
+    schema = quarantine(store.spark.createDataFrame([], BRONZE)).schema
+    rows = store.spark.read.schema(schema.add("run", "string")).option("basePath", path)
+    return rows.parquet(path if run is None else f"{path}/run={run}")
 
 
 def ingest_summary(bronze: DataFrame, elapsed_seconds: float | None = None) -> DataFrame:

@@ -1,7 +1,8 @@
 """Stored tables: numbered Parquet snapshots, keyed merges and physical layout.
 
 A write never touches the snapshot it reads: it makes the next one, and a snapshot counts
-once Spark has marked it complete. Lost executors cost retried tasks only, and a failed
+once Spark has marked it complete. A snapshot may hold only the partitions that changed and
+name the folders of earlier snapshots where the others still lie. Lost executors cost retried tasks only, and a failed
 run leaves the last complete snapshot in place.
 """
 
@@ -12,39 +13,64 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _complete_snapshots(spark: SparkSession, root: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/snapshot=*/_SUCCESS")
-    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(
-        int(s.getPath().getParent().getName().split("=")[1]) for s in fs.globStatus(pattern) or []
-    )
+def _names(spark: SparkSession, pattern: str, up: int = 0) -> list[str]:
+    """Names of the paths that match, or of their parents."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.globStatus(path) or []]
+    return [(p.getParent() if up else p).getName() for p in found]
+
 
+def complete_folders(spark: SparkSession, root: str, name: str) -> list[int]:
+    """Numbers of the folders ``name=<number>`` that Spark has marked complete, in order."""
+    return sorted(int(n.split("=")[1]) for n in _names(spark, f"{root}/{name}=*/_SUCCESS", up=1))
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+def _complete_snapshots(spark: SparkSession, root: str) -> list[int]:
+    return complete_folders(spark, root, "snapshot")
 
 
 def table_exists(spark: SparkSession, root: str) -> bool:
     return bool(_complete_snapshots(spark, root))
 
 
-def _schema_file(spark: SparkSession, root: str, number: int):
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/_schema-{number}.json")
+def _note_file(spark: SparkSession, root: str, kind: str, number: int):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/_{kind}-{number}.json")
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _read_note(spark: SparkSession, root: str, kind: str, number: int):
+    """A small JSON note beside a snapshot, None if there is none."""
+    path, fs = _note_file(spark, root, kind, number)
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return json.loads(text)
+
+
+def _write_note(spark: SparkSession, root: str, kind: str, number: int, content) -> None:
+    path, fs = _note_file(spark, root, kind, number)
+    stream = fs.create(path, True)
+    stream.write(bytearray(json.dumps(content).encode()))
+    stream.close()
+
+
 def _snapshot(spark: SparkSession, root: str, number: int) -> DataFrame:
     """A snapshot by its declared schema, so that one without rows, hence without files, reads too."""
-    path, fs = _schema_file(spark, root, number)
+    schema = _read_note(spark, root, "schema", number)
+    kept = _read_note(spark, root, "kept", number)
     reader = spark.read
-    if fs.exists(path):
-        stream = fs.open(path)
-        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        stream.close()
-        reader = reader.schema(T.StructType.fromJson(json.loads(text)))
-    return reader.parquet(f"{root}/snapshot={number}")
+    if schema is not None:
+        schema = T.StructType.fromJson(schema)
+        reader = reader.schema(schema)
+    if not kept:
+        return reader.parquet(f"{root}/snapshot={number}")
+    rows = reader.option("basePath", root).parquet(
+        f"{root}/snapshot={number}", *(f"{root}/{folder}" for folder in kept)
+    )
+    return rows.select(*schema.names)
 
 
 def read_table(spark: SparkSession, root: str) -> DataFrame:
@@ -55,15 +81,16 @@ def read_table(spark: SparkSession, root: str) -> DataFrame:
     return _snapshot(spark, root, snapshots[-1])
 
 
-def write_table(df: DataFrame, root: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` as the next snapshot and return it as read back."""
+def write_table(
+    df: DataFrame, root: str, partition_by: str | None = None, kept: list[str] = ()
+) -> DataFrame:
+    """Write ``df`` as the next snapshot and return it as read back, with the partition
+    folders ``kept`` of earlier snapshots."""
     spark = df.sparkSession
     snapshots = _complete_snapshots(spark, root)
     number = snapshots[-1] + 1 if snapshots else 1
-    schema, fs = _schema_file(spark, root, number)
-    stream = fs.create(schema, True)
-    stream.write(bytearray(df.schema.json().encode()))
-    stream.close()
+    _write_note(spark, root, "schema", number, df.schema.jsonValue())
+    _write_note(spark, root, "kept", number, list(kept))
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
@@ -71,6 +98,19 @@ def write_table(df: DataFrame, root: str, partition_by: str | None = None) -> Da
     return _snapshot(spark, root, number)
 
 
+def replace_partitions(df: DataFrame, root: str, column: str, values: list) -> DataFrame:
+    """Write ``df`` as all rows of the partitions ``values``; the others stay where they lie.
+
+    The note of kept folders has one entry per partition of the table.
+    """
+    spark = df.sparkSession
+    number = _complete_snapshots(spark, root)[-1]
+    folders = [f"snapshot={number}/{n}" for n in _names(spark, f"{root}/snapshot={number}/{column}=*")]
+    folders += _read_note(spark, root, "kept", number) or []
+    replaced = {f"{column}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for v in values}
+    return write_table(df, root, column, [f for f in folders if f.split("/")[1] not in replaced])
+
+
 def profile_layout(profiles: DataFrame) -> DataFrame:
     """Rows placed for storage: by year, sorted by float and cycle inside each file.
 

@@ -116,12 +116,55 @@ def test_stream_equals_batch_and_repeats_safely(spark, sf_dir):
     stream_ingest(stream, root, LANDING, files_per_batch=40)
     for table in ("profiles", "bgc_profiles", "floats"):
         assert rows(stream.read(table)) == rows(batch.read(table))
+    assert rows(ingest.rejected_rows(stream).drop("run")) == rows(ingest.rejected_rows(batch).drop("run"))
     stream_ingest(stream, root, LANDING, files_per_batch=40)
     merge_changes(stream)
     assert rows(stream.read("floats")) == rows(batch.read("floats"))
     assert stream.read("profiles").count() == batch.read("profiles").count()
 
 
+def test_an_upsert_rewrites_only_the_years_it_touches(spark, sf_dir):
+    store = ingest.Store(spark, fresh_path(spark, "years"))
+    ingest.ingest(store, fixtures.bronze(spark, sf_dir))
+    before = store.read("profiles")
+    stored, was = before.count(), {r.year for r in before.select("year").distinct().collect()}
+    row = before.where("year = 1996").orderBy("profile_id").limit(1)
+    moved = row.drop("year").withColumns({
+        "timestamp": F.expr("timestamp_ntz'1997-07-01 00:00:00'"), "pi_name": F.lit("moved")})
+    after = ingest.upsert_profiles(store, "profiles", moved)
+    assert after.count() == stored
+    assert [(r.year, r.pi_name) for r in after.join(row.select("profile_id"), "profile_id").collect()] == [
+        (1997, "moved")]
+    def files(df, touched):
+        return {f for f in df.inputFiles() if ("year=1996" in f or "year=1997" in f) == touched}
+
+    assert len(was) > 3
+    assert files(after, False) == files(before, False) and files(before, False)
+    assert not files(after, True) & files(before, True)
+    undated = moved.withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
+    for _ in range(2):
+        again = ingest.upsert_profiles(store, "profiles", undated)
+        assert again.count() == stored and again.where("year is null and pi_name = 'moved'").count() == 1
+    assert ingest.upsert_profiles(store, "profiles", undated.limit(0)).count() == stored
+
+
+def test_small_delivery_equals_one_large(spark, sf_dir):
+    bronze = fixtures.bronze(spark, sf_dir)
+    whole = ingest.Store(spark, fresh_path(spark, "whole"))
+    ingest.ingest(whole, bronze)
+    parts = ingest.Store(spark, fresh_path(spark, "parts"))
+    half = "pmod(hash(source_file), 2) = {}"
+    runs = [ingest.ingest(parts, bronze.where(half.format(i))) for i in (0, 1)]
+    for table in ("bgc_profiles", "floats"):
+        assert rows(parts.read(table)) == rows(whole.read(table))
+    assert rows(parts.read("profiles").select("profile_id")) == rows(
+        whole.read("profiles").select("profile_id"))
+    report = {r.measure: r["rows"] for r in ingest.run_report(parts, runs[1]).collect()}
+    assert report["stored_profiles"] == whole.read("profiles").count() > report["written_profiles"]
+    assert ingest.rejected_rows(parts).count() == quarantine(bronze).count()
+    assert {r.run for r in ingest.rejected_rows(parts).collect()} == set(runs)
+
+
 def test_missing_id_is_made_up(spark):
     store = ingest.Store(spark, fresh_path(spark, "unnamed"))
     df = normalize(raw(spark)).withColumns({

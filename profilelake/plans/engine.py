@@ -57,7 +57,11 @@ class Engine:
     def build_embeddings(
         self, collection: str = "all", limit: int | None = None, reset: bool = False
     ) -> DataFrame:
-        """Build, embed and store the documents of one collection or of all."""
+        """Build, embed and store the documents of one collection or of all.
+
+        The model runs on new and changed texts only; ``reset`` runs it on all, as another
+        model needs.
+        """
         if reset and self.store.exists("documents"):
             docstore.reset_collections(self.store)
         docs, _ = documents.split_errors(
@@ -65,9 +69,14 @@ class Engine:
                 self.profiles, self.bgc_profiles, self.floats, collection, limit
             )
         )
-        return docstore.upsert_documents(
-            self.store, vectors.embed_documents(docs, self.make_model)
-        )
+        if not self.store.exists("documents") or "embedding" not in self.documents.columns:
+            made = vectors.embed_documents(docs, self.make_model)
+        else:
+            key = ["collection", "id", "document"]
+            known = self.documents.where("embedding is not null").select(*key, "embedding")
+            new = docs.join(known, key, "left_anti")
+            made = vectors.embed_documents(new, self.make_model).unionByName(docs.join(known, key))
+        return docstore.upsert_documents(self.store, made)
 
     def query_collection(
         self,

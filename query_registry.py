@@ -802,13 +802,6 @@ TEXTS = ["salinity profiles near the equator", "deep ocean profiles in delayed m
 TEXT_HITS = sql.DOCS + sql.text_search("docs", TEXTS)
 
 
-def text_oracle(n: int, where: str, fields: str) -> str:
-    return sql.query(TEXT_HITS, f"""SELECT {fields} FROM (
-      SELECT *, CAST(row_number() OVER (PARTITION BY query_id
-        ORDER BY round(distance, 6), id) AS INTEGER) AS rank
-      FROM hits WHERE {where}) WHERE rank <= {n}""")
-
-
 def _text_hits(spark, sf_dir, texts, n, collection, where=None, contains=None) -> DataFrame:
     corpus = embedded(spark, sf_dir).where(F.col("collection") == collection)
     hits = vectors.semantic_search(
@@ -851,11 +844,30 @@ def search_bgc_profiles(spark, sf_dir):
     return engine.search_bgc_profiles("doxy", 5).select("rank", "relevance")
 
 
-@query("ann_search")
+@query("ann_search", """
+    SELECT count(DISTINCT label) AS queries, true AS complete, true AS exact, true AS recalled
+    FROM embeddings""")
 def ann_search(spark, sf_dir):
+    """For the centroids of all labels: ten rows each, true distances, and over all queries
+    nine tenths of the nearest rows found."""
     corpus = _vectors(spark, sf_dir)
-    first = _centroids(corpus).orderBy("query_id").first()
-    return vectors.ann_search(corpus, first.vector, 10)
+    queries = _centroids(corpus)
+    near = vectors.ann_search(corpus, queries, 10).select("query_id", "id", "distance")
+    true = vectors.semantic_search(corpus, queries, 10).selectExpr(
+        "query_id", "id", "distance as true_distance"
+    )
+    per_query = near.join(true, ["query_id", "id"], "full_outer").groupBy("query_id").agg(
+        F.count("distance").alias("hits"),
+        F.count("true_distance").alias("wanted"),
+        F.expr("count_if(distance is not null and true_distance is not null)").alias("found"),
+        F.expr("bool_and(coalesce(abs(distance - true_distance) < 1e-9, true))").alias("exact"),
+    )
+    return per_query.agg(
+        F.count("*").alias("queries"),
+        F.expr("bool_and(hits = wanted)").alias("complete"),
+        F.expr("bool_and(exact)").alias("exact"),
+        F.expr("sum(found) >= 0.9 * sum(wanted)").alias("recalled"),
+    )
 
 
 # --- retrieval -------------------------------------------------------------------------
@@ -1171,14 +1183,15 @@ LABELLED = {
           WHERE collection = ['profiles', 'bgc_profiles', 'floats'][query_id + 1]) h
     LEFT JOIN bgc b ON h.id = b.profile_id WHERE r = 1"""))
 def check_search(spark, sf_dir):
-    out = None
-    for collection, (text, predicate) in LABELLED.items():
-        hits = _text_hits(spark, sf_dir, [text], 3, collection)
-        row = checks.check_search(hits, {0: predicate}).select(
-            F.lit(collection).alias("collection"), "passed"
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+    corpus = embedded(spark, sf_dir)
+    queries = vectors.text_queries(spark, [text for text, _ in LABELLED.values()])
+    hits = vectors.semantic_search(corpus, queries, 3, by="collection")
+    asked = F.array(*map(F.lit, LABELLED))
+    hits = hits.where(F.get(asked, F.col("query_id")) == F.col("collection"))
+    return checks.check_search(
+        vectors.with_documents(hits, corpus, ["collection", "id"]),
+        {i: predicate for i, (_, predicate) in enumerate(LABELLED.values())},
+    ).select(F.get(asked, F.col("query_id")).alias("collection"), "passed")
 
 
 @query("check_hybrid", sql.query(sql.LEVELS, f"""

@@ -172,3 +172,12 @@ def test_union_of_bgc_parameters(spark):
     ).selectExpr("*", "cast(null as timestamp_ntz) as timestamp", "1D as latitude", "1D as longitude")
     assert rollup.float_bgc_rollup(df).first().bgc_parameters == ["DOXY"]
     assert rollup.float_bgc_rollup(df, union=True).first().bgc_parameters == ["CHLA", "DOXY"]
+
+
+def test_only_new_texts_are_embedded(engine, store):
+    def vectors_of(df):
+        return {(r.collection, r.id): r.embedding for r in df.select("collection", "id", "embedding").collect()}
+
+    before = vectors_of(store.read("documents"))
+    other = Engine(store, lambda: lambda texts: [[1.0, 2.0]] * len(texts))
+    assert vectors_of(other.build_embeddings("floats")) == before

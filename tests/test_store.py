@@ -37,5 +37,6 @@ def test_documents_with_and_without_vectors(spark):
 def test_approximate_search_with_a_zero_vector(spark):
     corpus = spark.createDataFrame(
         [("a", [1.0, 0.0]), ("b", [1.0, 0.1]), ("z", [0.0, 0.0])], "id string, embedding array<double>")
-    found = [(r.id, r.distance) for r in vectors.ann_search(corpus, [1.0, 0.0], 3).collect()]
+    query = spark.createDataFrame([(0, [1.0, 0.0])], "query_id int, vector array<double>")
+    found = [(r.id, r.distance) for r in vectors.ann_search(corpus, query, 3).orderBy("rank").collect()]
     assert [i for i, _ in found] == ["a", "b", "z"] and found[2][1] is None

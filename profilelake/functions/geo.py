@@ -8,6 +8,9 @@ EARTH_RADIUS_KM = 6378.1
 # cells are never smaller than this, so a point near a pole touches a bounded number
 MIN_CELL_DEGREES = 0.5
 
+# parts of a cell along each side, per level of the grid
+SPLIT = 16
+
 
 def haversine_km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     half = (
@@ -32,8 +35,16 @@ def bounding_box(lat: float, lon: float, km: float) -> str:
     return f"{keep} and pmod(longitude - {lon!r}D + 180D, 360D) - 180D between {-width!r}D and {width!r}D"
 
 
+def square(lat: str, lon: str) -> str:
+    """Number of the ten-degree square of a place."""
+    return f"int(floor(({lat} + 90D) / 10D)) * 36 + int(floor(pmod({lon} + 180D, 360D) / 10D))"
+
+
 class Grid:
-    """Latitude bands cut into equal longitude cells, as wide as the search radius."""
+    """Latitude bands cut into equal longitude cells, as wide as the search radius.
+
+    At each further level a cell is cut into ``SPLIT`` by ``SPLIT`` parts.
+    """
 
     def __init__(self, km: float):
         self.reach = degrees(km / EARTH_RADIUS_KM) + 1e-6
@@ -41,14 +52,28 @@ class Grid:
         self.size = max(self.reach, MIN_CELL_DEGREES)
         self.columns = max(1, int(360 // self.size))
 
-    def band(self, lat: str) -> str:
-        return f"cast(floor(({lat} + 90D) / {self.size!r}D) as int)"
+    def band(self, lat: str, level: int = 0) -> str:
+        return f"cast(floor(({lat} + 90D) * {SPLIT**level / self.size!r}D) as int)"
 
-    def column(self, lon: str) -> str:
+    def column(self, lon: str, level: int = 0) -> str:
+        columns = self.columns * SPLIT**level
         return (
-            f"least({self.columns - 1}, cast(floor(pmod({lon} + 180D, 360D) * "
-            f"{self.columns / 360!r}D) as int))"
+            f"least({columns - 1}, cast(floor(pmod({lon} + 180D, 360D) * "
+            f"{columns / 360!r}D) as int))"
+        )
+
+    def reach_km(self, lat: str, lon: str, level: int) -> tuple[str, str]:
+        """Least and greatest distance, at most and at least, to a place in the cell
+        (band, column) of a level: that to its centre and back along parallel and meridian."""
+        height, width = self.size / SPLIT**level, 360 / (self.columns * SPLIT**level)
+        north = f"((band + 0.5D) * {height!r}D - 90D)"
+        east = f"((column + 0.5D) * {width!r}D - 180D)"
+        half = (
+            f"({EARTH_RADIUS_KM}D * radians({height / 2!r}D + "
+            f"abs(cos(radians({north}))) * {width / 2!r}D) + 1e-6D)"
         )
+        centre = haversine_km(lat, lon, north, east)
+        return f"{centre} - {half}", f"{centre} + {half}"
 
     def bands_near(self, lat: str) -> str:
         """Bands a circle around the point can touch."""

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from profilelake.functions.geo import Grid, bounding_box, haversine_km
+from profilelake.functions.geo import SPLIT, Grid, bounding_box, haversine_km
 from profilelake.schema import NEAREST_FLOATS_SHOWN, NEAREST_PROFILES
 
 _FIELDS = ["profile_id", "platform_number", "latitude", "longitude", "timestamp"]
@@ -62,38 +62,89 @@ def nearest_floats(
     return _closest_floats(hits, ["query_lat", "query_lon"], shown)
 
 
-def nearest_join(
-    profiles: DataFrame,
-    points: DataFrame,
-    max_distance_km: float = 500,
-    n_profiles: int = NEAREST_PROFILES,
-    shown: int = NEAREST_FLOATS_SHOWN,
+#: Levels of the grid below the cells of the search radius.
+LEVELS = 2
+
+
+def _cells_to_search(
+    counts: DataFrame, around: DataFrame, grid: Grid, km: float, n_profiles: int
 ) -> DataFrame:
-    """``nearest_floats`` for each row of ``points`` (point_id, lat, lon).
+    """Finest cells that can hold one of the ``n_profiles`` nearest of a point, by point.
 
-    A profile lies in one grid cell; a point is repeated for the cells its circle can
-    touch. The join is on equal cells, so Spark broadcasts the points when they are small
-    at run time and splits crowded cells when they are not. Each task keeps the nearest
-    ``n_profiles`` per point before the shuffle.
+    ``counts`` has the profiles per finest cell, ``around`` the points by the cells their
+    circles can touch. Level by level, the cells of a point are ordered by their greatest
+    distance until they hold ``n_profiles``; cells beyond that distance fall away, and only
+    the others are looked at in parts. A point meets a bounded number of cells at each
+    level, however many profiles lie in them.
     """
+    point = ["point_id", "lat", "lon"]
+    cells = around
+    for level in range(1, LEVELS + 1):
+        parts = SPLIT ** (LEVELS - level)
+        held = counts.groupBy(
+            F.expr(f"band div {parts}").alias("_band"), F.expr(f"column div {parts}").alias("_column")
+        ).agg(F.sum("n").alias("n"))
+        inside = held.selectExpr(
+            f"cast(_band div {SPLIT} as int) as band", f"cast(_column div {SPLIT} as int) as column",
+            "cast(_band as int) as _band", "cast(_column as int) as _column", "n",
+        )
+        low, high = grid.reach_km("lat", "lon", level)
+        nearest = Window.partitionBy(*point)
+        cells = (
+            cells.join(inside, ["band", "column"])
+            .select(*point, F.col("_band").alias("band"), F.col("_column").alias("column"), "n")
+            .withColumns({"_low": F.expr(low), "_high": F.expr(high)})
+            .withColumn("_held", F.sum("n").over(nearest.orderBy("_high")))
+            .withColumn("_far", F.min(F.when(F.col("_held") >= n_profiles, F.col("_high"))).over(nearest))
+            .where(F.col("_low") <= F.least(F.col("_far"), F.lit(float(km))))
+            .select(*point, "band", "column")
+        )
+    return cells
+
+
+def near_pairs(
+    profiles: DataFrame, points: DataFrame, max_distance_km: float, n_profiles: int
+) -> DataFrame:
+    """Pairs of a point and a profile within the radius, with all of the ``n_profiles`` nearest."""
     grid = Grid(max_distance_km)
     placed = profiles.select(*_FIELDS).where(
         "latitude is not null and longitude is not null"
     ).withColumns({
-        "band": F.expr(grid.band("latitude")),
-        "column": F.expr(grid.column("longitude")),
+        "band": F.expr(grid.band("latitude", LEVELS)),
+        "column": F.expr(grid.column("longitude", LEVELS)),
     })
     around = (
         points.where("lat is not null and lon is not null")
         .withColumn("band", F.explode(F.expr(grid.bands_near("lat"))))
         .withColumn("column", F.explode(F.expr(grid.columns_near("lat", "lon"))))
+        .select("point_id", "lat", "lon", "band", "column")
     )
-    near = (
-        placed.join(around, ["band", "column"])
+    counts = placed.groupBy("band", "column").agg(F.count("*").alias("n"))
+    cells = _cells_to_search(counts, around, grid, max_distance_km, n_profiles)
+    return (
+        placed.join(cells, ["band", "column"])
         .withColumn("distance_km", F.expr(haversine_km("lat", "lon", "latitude", "longitude")))
         .where(F.col("distance_km") <= max_distance_km)
         .drop("band", "column", "lat", "lon")
     )
+
+
+def nearest_join(
+    profiles: DataFrame,
+    points: DataFrame,
+    max_distance_km: float = 500,
+    n_profiles: int = NEAREST_PROFILES,
+    shown: int = NEAREST_FLOATS_SHOWN,
+) -> DataFrame:
+    """``nearest_floats`` for each row of ``points`` (point_id, lat, lon).
+
+    Profiles are counted per small cell first, and a point is joined to the profiles of the
+    cells that can hold its nearest ones, so a crowded place does not pair all its profiles
+    with all points nearby. The join is on equal cells: Spark broadcasts the points' cells when
+    they are small at run time and splits crowded cells when they are not. Each task keeps the
+    nearest ``n_profiles`` per point before the shuffle.
+    """
+    near = near_pairs(profiles, points, max_distance_km, n_profiles)
     order = Window.partitionBy("point_id").orderBy("distance_km", "profile_id")
     hits = near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= n_profiles)
     return _closest_floats(hits.drop("_n"), ["point_id"], shown)

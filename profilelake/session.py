@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # blocks of vectors and long texts do not pile up in a Python worker
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
     # ranks are limited in each task before the shuffle, however large the limit
     "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
     # float rollups keep more groups per task than the default 128 before they sort

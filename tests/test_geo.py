@@ -66,5 +66,19 @@ def test_nearest_floats_equals_brute_force(profiles, lat, lon):
     assert got == expected(rows, lat, lon, 700)
 
 
+def test_crowded_place_makes_few_pairs(spark):
+    rng = random.Random(4)
+    rows = [(f"p{i:05d}", f"f{i % 90}", 10 + 3 * rng.random(), 60 + 3 * rng.random())
+            for i in range(30000)]
+    df = spark.createDataFrame(
+        rows, "profile_id string, platform_number string, latitude double, longitude double"
+    ).selectExpr("*", "cast(null as timestamp_ntz) as timestamp")
+    points = nearest.points_frame(spark, [(i, 11 + i / 50, 61.0) for i in range(50)])
+    assert nearest.near_pairs(df, points, 500, 100).count() < 50 * 600
+    got = nearest.nearest_join(df, points, 500).where("point_id = 7").collect()
+    mine = sorted((r.rank, r.platform_number, r.sample_profile_id, r.unique_floats) for r in got)
+    assert mine == expected(rows, 11 + 7 / 50, 61.0, 500)
+
+
 def test_nothing_near(profiles):
     assert nearest.nearest_floats(profiles[1].where("platform_number = 'x'"), 0, 0).count() == 0

@@ -17,8 +17,10 @@ from profilelake.schema import (
     PARAMS,
     PARTS,
     QC_PARTS,
+    RAW_OTHER,
 )
 
+_OTHERS = f"array<{RAW_OTHER.simpleString()}>"
 _CALIBRATION_TYPE = "array<struct<parameter:string,{},date:timestamp_ntz>>".format(
     ",".join(f"{c}:string" for c in CALIBRATION_TEXT)
 )
@@ -29,9 +31,35 @@ def wanted_param(param: str, measured: str) -> str:
     return f"case when array_contains({measured}, '{param}') then {param.lower()} end"
 
 
+def wanted_others(measured: str) -> str:
+    """The raw parameters outside the catalogue that the ``measured`` list has, null if none."""
+    known = ", ".join(f"'{p}'" for p in PARAMS)
+    return (
+        f"nullif(filter(other_params, p -> array_contains({measured}, upper(p.name)) "
+        f"and upper(p.name) not in ({known})), cast(array() as {_OTHERS}))"
+    )
+
+
+def _others(raw_pres: str) -> str:
+    """Per level, the parameters outside the catalogue, cleaned; empty without any."""
+    fields = ["lower(p.name) as name"]
+    for part in PARTS:
+        clean = decode_qc if part in QC_PARTS else clean_numeric
+        fields.append(f"case when i < size(p.{part}) then {clean(f'get(p.{part}, i)')} end as {part}")
+    each = f"transform(other_params, p -> struct({', '.join(fields)}))"
+    return (
+        f"case when other_params is null or size({raw_pres}) = 0 "
+        f"then cast(array() as array<{LEVEL['others'].dataType.simpleString()}>) "
+        f"else transform(sequence(0, size({raw_pres}) - 1), i -> {each}) end"
+    )
+
+
 def assemble_levels(raw_pres: str) -> str:
     """Zip the cleaned arrays of the wanted parameters into level structs.
 
+    Parameters outside the catalogue become a list of named values of the level, null if the
+    profile has none.
+
     The raw pressure array sets the number of levels; without one there are no levels.
     Arrays are cleaned before they are zipped, so a parameter that a file lacks costs
     nothing per level.
@@ -45,6 +73,7 @@ def assemble_levels(raw_pres: str) -> str:
                 f"coalesce(transform({param.lower()}.{part}, v -> {clean}), "
                 f"cast(array() as array<{kind}>))"
             )
+    arrays.append(_others(raw_pres))
     zipped = f"slice(arrays_zip({', '.join(arrays)}), 1, size({raw_pres}))"
     return (
         f"case when {raw_pres} is not null then cast({zipped} as array<{LEVEL.simpleString()}>) "
@@ -65,6 +94,14 @@ def available_vars() -> str:
             f"if({name}.{part} is not null, '{name}{suffix}', '')" for part, suffix in PARTS.items()
         )
         groups.append(f"if({name} is null, cast(array() as array<string>), array({parts}))")
+    parts = ", ".join(
+        f"if(p.{part} is not null, concat(lower(p.name), '{suffix}'), '')"
+        for part, suffix in PARTS.items()
+    )
+    groups.append(
+        f"if(other_params is null, cast(array() as array<string>), "
+        f"flatten(transform(other_params, p -> array({parts}))))"
+    )
     return f"array_remove(flatten(array({', '.join(groups)})), '')"
 
 

@@ -71,7 +71,11 @@ def normalize(bronze: DataFrame) -> DataFrame:
         clean_fields(bronze),
         {"measured": "transform(station_parameters, t -> upper(t))", "raw_pres": "pres.value"},
     )
-    wanted = _replace(listed, {p.lower(): lv.wanted_param(p, "measured") for p in PARAMS})
+    wanted = _replace(
+        listed,
+        {p.lower(): lv.wanted_param(p, "measured") for p in PARAMS}
+        | {"other_params": lv.wanted_others("measured")},
+    )
     derived = _replace(wanted, {
         "profile_id": cl.build_profile_id(
             "platform_number", "cycle_number", "direction", "file_type"

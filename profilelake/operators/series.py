@@ -55,7 +55,7 @@ def level_fields(parameters: list[str] | str) -> list[str]:
     names = parameters.split(",") if isinstance(parameters, str) else parameters
     fields = list(dict.fromkeys(p.strip().lower() for p in names))
     for field in fields:
-        if field not in LEVEL.names:
+        if field not in LEVEL.names or field == "others":
             raise ValueError(f"levels have no field {field!r}")
     return fields
 

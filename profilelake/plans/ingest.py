@@ -81,7 +81,7 @@ def merge_profiles(
     """
     path = store.path(table)
     if not store.exists(table):
-        return tables.write_table(tables.profile_layout(batch), path, "year")
+        return tables.write_table(tables.profile_layout(batch), path, "year", bloom="profile_id")
     old = store.read(table)
     new = (batch if sources is None else sources).select(
         "profile_id", F.year("timestamp").alias("year")
@@ -96,7 +96,9 @@ def merge_profiles(
     merged = tables.merge_rows(
         old.where(touched).drop("year"), batch, ["profile_id"], OPTIONAL_COLUMNS
     )
-    return tables.replace_partitions(tables.profile_layout(merged), path, "year", years)
+    return tables.replace_partitions(
+        tables.profile_layout(merged), path, "year", years, bloom="profile_id"
+    )
 
 
 def write_floats(store: Store, floats: DataFrame) -> DataFrame:

@@ -71,13 +71,23 @@ def part_type(part: str) -> T.DataType:
 
 RAW_PARAM = T.StructType([T.StructField(p, T.ArrayType(part_type(p))) for p in PARTS])
 
+# a parameter outside the catalogue, by its name: of a raw profile, and of one level
+RAW_OTHER = T.StructType([T.StructField("name", T.StringType()), *RAW_PARAM.fields])
+LEVEL_OTHER = T.StructType([
+    T.StructField("name", T.StringType()),
+    *(
+        T.StructField(part, T.IntegerType() if part in QC_PARTS else T.DoubleType())
+        for part in PARTS
+    ),
+])
+
 LEVEL = T.StructType([
     T.StructField(
         param.lower() + suffix, T.IntegerType() if part in QC_PARTS else T.DoubleType()
     )
     for param in PARAMS
     for part, suffix in PARTS.items()
-])
+] + [T.StructField("others", T.ArrayType(LEVEL_OTHER))])
 
 # text of the raw profile -> profile column (N1 on each)
 PROFILE_TEXT = [
@@ -120,6 +130,7 @@ BRONZE = T.StructType(
     + [T.StructField(c, T.StringType()) for c in ("juld_qc", "position_qc")]
     + [T.StructField(c, STRINGS) for c in ("station_parameters", "parameter_data_mode")]
     + [T.StructField(p.lower(), RAW_PARAM) for p in PARAMS]
+    + [T.StructField("other_params", T.ArrayType(RAW_OTHER))]
     + [T.StructField("calib_parameter", STRING_GRID)]
     + [T.StructField(f"calib_{c}", STRING_GRID) for c in CALIBRATION_TEXT + ["date"]]
     + [T.StructField(f"history_{c}", STRINGS) for c in HISTORY_TEXT + ["date"]]

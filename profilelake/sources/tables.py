@@ -12,6 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from profilelake.functions.geo import square
+
+#: Values per row group that a Bloom filter is made for.
+BLOOM_VALUES = 20_000
+
 
 def _names(spark: SparkSession, pattern: str, up: int = 0) -> list[str]:
     """Names of the paths that match, or of their parents."""
@@ -82,10 +87,14 @@ def read_table(spark: SparkSession, root: str) -> DataFrame:
 
 
 def write_table(
-    df: DataFrame, root: str, partition_by: str | None = None, kept: list[str] = ()
+    df: DataFrame, root: str, partition_by: str | None = None, kept: list[str] = (),
+    bloom: str | None = None,
 ) -> DataFrame:
     """Write ``df`` as the next snapshot and return it as read back, with the partition
-    folders ``kept`` of earlier snapshots."""
+    folders ``kept`` of earlier snapshots.
+
+    ``bloom``: a column whose equality filters skip row groups by a Bloom filter.
+    """
     spark = df.sparkSession
     snapshots = _complete_snapshots(spark, root)
     number = snapshots[-1] + 1 if snapshots else 1
@@ -94,11 +103,16 @@ def write_table(
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
+    if bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{bloom}", "true").option(
+            f"parquet.bloom.filter.expected.ndv#{bloom}", str(BLOOM_VALUES))
     writer.parquet(f"{root}/snapshot={number}")
     return _snapshot(spark, root, number)
 
 
-def replace_partitions(df: DataFrame, root: str, column: str, values: list) -> DataFrame:
+def replace_partitions(
+    df: DataFrame, root: str, column: str, values: list, bloom: str | None = None
+) -> DataFrame:
     """Write ``df`` as all rows of the partitions ``values``; the others stay where they lie.
 
     The note of kept folders has one entry per partition of the table.
@@ -108,19 +122,23 @@ def replace_partitions(df: DataFrame, root: str, column: str, values: list) -> D
     folders = [f"snapshot={number}/{n}" for n in _names(spark, f"{root}/snapshot={number}/{column}=*")]
     folders += _read_note(spark, root, "kept", number) or []
     replaced = {f"{column}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for v in values}
-    return write_table(df, root, column, [f for f in folders if f.split("/")[1] not in replaced])
+    untouched = [f for f in folders if f.split("/")[1] not in replaced]
+    return write_table(df, root, column, untouched, bloom)
 
 
 def profile_layout(profiles: DataFrame) -> DataFrame:
-    """Rows placed for storage: by year, sorted by float and cycle inside each file.
+    """Rows placed for storage: by year, sorted by ten-degree square, float and cycle.
 
-    The rebalance lets adaptive execution split big years and merge small ones by size.
-    Sorted files let a platform filter skip pages by their minimum and maximum.
+    The rebalance lets adaptive execution split big years and merge small ones by size. Inside
+    a file a box of latitude and longitude skips row groups by their minimum and maximum, a
+    float, which stays in few squares, by the dictionary, and a profile id by its Bloom filter.
     """
     return (
         profiles.withColumn("year", F.year("timestamp"))
         .hint("rebalance", "year")
-        .sortWithinPartitions("year", "platform_number", "cycle_number")
+        .sortWithinPartitions(
+            "year", F.expr(square("latitude", "longitude")), "platform_number", "cycle_number"
+        )
     )
 
 

@@ -402,23 +402,40 @@ def parameter_data_mode(p):
       i * 50e0 + k % 50 + 0.5e0 AS pres_adjusted, 1 AS pres_adjusted_qc,
       2.4e0 AS pres_adjusted_error, temp, temp_adjusted, psal, doxy,
       CASE WHEN has_bgc AND f % 6 < 4 THEN i * 0.5e0 END AS doxy_dpres, chla,
-      CASE WHEN has_bgc THEN 0 END AS chla_qc, CAST(NULL AS DOUBLE) AS nitrate
+      CASE WHEN has_bgc THEN 0 END AS chla_qc, CAST(NULL AS DOUBLE) AS nitrate,
+      CASE WHEN k % 41 <> 0 AND k % 43 <> 0 THEN 'turbidity' END AS other_name,
+      CASE WHEN k % 41 <> 0 AND k % 43 <> 0 THEN temp END AS other_value
     FROM measured""", sql.LEVELS)
 def assemble_levels(bronze):
     from profilelake.functions import levels as lv
     from profilelake.schema import PARAMS
 
+    # a parameter outside the catalogue, where the file lists any
+    listed = "exists(station_parameters, t -> trim(t) = 'PRES')"
+    bronze = bronze.withColumns({
+        "station_parameters": F.expr(
+            f"if({listed}, array_append(station_parameters, 'TURBIDITY '), station_parameters)"),
+        "other_params": F.expr(
+            "array(named_struct('name', 'Turbidity', 'value', temp.value, 'qc', temp.qc, "
+            "'adjusted', temp.adjusted, 'adjusted_qc', temp.adjusted_qc, "
+            "'adjusted_error', temp.adjusted_error, 'dpres', temp.dpres))"),
+    })
     rows = clean_fields(bronze).withColumns({
         "raw_pres": F.expr("pres.value"),
         "measured": F.expr("transform(station_parameters, t -> upper(t))"),
     })
-    rows = rows.withColumns({p.lower(): F.expr(lv.wanted_param(p, "measured")) for p in PARAMS})
+    rows = rows.withColumns(
+        {p.lower(): F.expr(lv.wanted_param(p, "measured")) for p in PARAMS}
+        | {"other_params": F.expr(lv.wanted_others("measured"))})
     fields = ["pres", "pres_qc", "pres_adjusted", "pres_adjusted_qc", "pres_adjusted_error",
               "temp", "temp_adjusted", "psal", "doxy", "doxy_dpres", "chla", "chla_qc", "nitrate"]
     return rows.selectExpr(
         "source_file", "profile_index",
         f"posexplode({lv.assemble_levels('raw_pres')}) as (level, m)",
-    ).selectExpr("source_file", "profile_index", "level", *(f"m.{f}" for f in fields))
+    ).selectExpr(
+        "source_file", "profile_index", "level", *(f"m.{f}" for f in fields),
+        "get(m.others, 0).name as other_name", "get(m.others, 0).value as other_value",
+    )
 
 
 @on_profiles("filter_levels", "SELECT profile_id, level, pres, temp, psal, doxy, chla FROM lev")

@@ -7,6 +7,7 @@ from profilelake.plans import ingest
 from profilelake.schema import BRONZE
 from profilelake.session import fresh_path
 from profilelake.sources import documents as docstore
+from profilelake.functions.geo import square
 from profilelake.sources import fixtures, landing, tables
 from profilelake.streaming.ingest import merge_changes, stream_ingest
 
@@ -38,6 +39,20 @@ def test_upsert_twice_is_once(spark, sf_dir):
     assert rows(ingest.upsert_profiles(store, "profiles", profiles)) == once
 
 
+def test_rows_of_a_file_lie_by_place(spark):
+    df = spark.range(4000).selectExpr(
+        "concat('p', id) as profile_id", "concat('f', id % 50) as platform_number",
+        "cast(id as int) as cycle_number", "timestamp_ntz'2001-02-03' as timestamp",
+        "if(id % 99 = 0, null, id * 7 % 180 - 90e0) as latitude", "id * 11 % 360 - 180e0 as longitude")
+    parts = tables.profile_layout(df).selectExpr(
+        "spark_partition_id() as part", f"{square('latitude', 'longitude')} as square",
+        "platform_number").collect()
+    assert len(parts) == 4000
+    for part in {r.part for r in parts}:
+        mine = [(-1 if r.square is None else r.square, r.platform_number) for r in parts if r.part == part]
+        assert mine == sorted(mine)
+
+
 def test_incomplete_snapshot_is_not_read(spark):
     root = fresh_path(spark, "snapshots")
     first = tables.write_table(spark.range(3).toDF("k"), root)
@@ -74,6 +89,19 @@ def test_levels_follow_pressure_and_station_list(spark):
     assert row.available_vars == ["pres", "pres_qc", "temp", "psal"]
 
 
+def test_parameters_outside_the_catalogue_are_kept(spark):
+    df = raw(spark, pres={"value": [1.0, 2.0, 3.0]},
+             station_parameters=["PRES", "Turbidity "],
+             other_params=[
+                 {"name": "TURBIDITY", "value": [0.5, 99999.0], "qc": ["1"]},
+                 {"name": "TILT", "value": [7.0]}, {"name": "temp", "value": [7.0]}])
+    row = normalize(df).first()
+    assert [[(o.name, o.value, o.qc, o.adjusted) for o in m.others] for m in row.measurements] == [
+        [("turbidity", 0.5, 1, None)], [("turbidity", None, None, None)],
+        [("turbidity", None, None, None)]]
+    assert row.available_vars == ["pres", "turbidity", "turbidity_qc"]
+
+
 def test_bgc_value_keeps_a_level(spark):
     fields = dict(pres={"value": [None, None]}, doxy={"value": [4.0, None]},
                   station_parameters=["PRES", "DOXY"])

@@ -303,6 +303,42 @@ def test_simhash_edges(spark, docs_of):
     assert simhash.near_duplicates(docs_of([])).count() == 0
 
 
+def near_copies():
+    """Texts with copies in which from none to many words are changed, in chains too."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for group in range(40):
+        words = [f"w{x}" for x in rng.integers(0, 5000, rng.integers(3, 300))]
+        for _ in range(rng.integers(1, 6)):
+            rows.append((len(rows) * 7 % 1009, " ".join(words)))
+            for at in rng.integers(0, len(words), rng.integers(0, 1 + len(words) // 25)):
+                words[at] = f"v{rng.integers(0, 5000)}"
+    return rows
+
+
+def test_keep_one_matches_brute_force_jaccard(spark, docs_of):
+    rows = near_copies()
+    sets = []
+    for _, text in rows:
+        w = plain_words(text)
+        sets.append({tuple(w[i: i + 5]) for i in range(max(1, len(w) - 4))})
+    prints = [plain_print(t) for _, t in rows]
+    group, far = list(range(len(rows))), 0
+    for i in range(len(rows)):
+        for j in range(i):
+            close = (prints[i] ^ prints[j]).bit_count() <= 3
+            alike = len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+            far += alike and not close
+            if close or alike:
+                a, b = group[i], group[j]
+                group = [b if g == a else g for g in group]
+    assert far > 10  # pairs that the fingerprints alone do not link
+    least = {}
+    for g, (doc, _) in zip(group, rows):
+        least[g] = min(doc, least.get(g, doc))
+    assert sorted(r.doc_id for r in simhash.keep_one(docs_of(rows)).collect()) == sorted(least.values())
+
+
 def test_simhash_links_match_all_pairs(spark):
     rng = np.random.default_rng(8)
     centres = rng.integers(0, 2**63, 20, dtype=np.uint64)

@@ -115,14 +115,9 @@ def schedule(targets: DataFrame, block: int = BLOCK, repeats: int = REPEATS) ->
     )
 
 
-def mixed(docs: DataFrame, *more: Column, block: int = BLOCK, repeats: int = REPEATS) -> DataFrame:
-    """Per row of ``docs (doc_id, source, text)``: its size, source_size, target and taken.
-
-    ``size`` counts words, null has none; ``taken`` the words that the mix takes from the row,
-    repeats counted. Documents without words take part with 0. Rows with equal ids and sizes are
-    alike and may change places, nothing else depends on the order of rows. Null sources are one
-    source. An empty table gives no rows. Other columns are ignored, but for ``more``, narrow
-    columns to pass along.
+def _in_place(docs: DataFrame, *more: Column, repeats: int = REPEATS) -> tuple[DataFrame, DataFrame]:
+    """Rows with size, source_no and ``_start``, their place among the words of their source;
+    and the targets, one row per source.
     """
     rows = docs.select("doc_id", "source", "text", *more).withColumns({
         "size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"),
@@ -130,17 +125,28 @@ def mixed(docs: DataFrame, *more: Column, block: int = BLOCK, repeats: int = REP
     })
     narrow = stored(rows.drop("text"), "mix-sizes")
     targets = stored(
-        source_targets(narrow).withColumn("source_no", F.row_number().over(
+        source_targets(narrow, repeats).withColumn("source_no", F.row_number().over(
             Window.orderBy(F.col("source").isNull(), F.encode("source", "utf-8")))),
         "mix-targets",
     )
     marked = narrow.join(targets, narrow.source.eqNullSafe(targets.source)).drop(targets.source)
-    placed = stored(_number(
+    return stored(_number(
         marked, ["source_no"], "size",
         F.substring("_turn", 1, 3),  # 4,096 groups
         ["_turn", "doc_id", "size"], "_start",
-    ), "mix-placed")
+    ), "mix-placed"), targets
+
 
+def mixed(docs: DataFrame, *more: Column, block: int = BLOCK, repeats: int = REPEATS) -> DataFrame:
+    """Per row of ``docs (doc_id, source, text)``: its size, source_size, target and taken.
+
+    ``size`` counts words, null has none; ``taken`` the words that the mix takes from the row,
+    repeats counted. Documents without words take part with 0. Rows with equal ids and sizes are
+    alike and may change places, nothing else depends on the order of rows. Null sources are one
+    source. An empty table gives no rows. Other columns are ignored, but for ``more``, narrow
+    columns to pass along.
+    """
+    placed, targets = _in_place(docs, *more, repeats=repeats)
     # how often each block of a source is used: slots go round its blocks, at most ``repeats`` times
     turns = schedule(targets, block, repeats).join(
         targets.select("source_no", F.expr(f"(source_size + {block} - 1) div {block}").alias("n")),
@@ -165,18 +171,25 @@ def mixed(docs: DataFrame, *more: Column, block: int = BLOCK, repeats: int = REP
     )
 
 
-def mix(docs: DataFrame, block: int = BLOCK, repeats: int = REPEATS) -> DataFrame:
+def mix(docs: DataFrame, repeats: int = REPEATS) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its words were taken, to the nearest.
 
-    Only the few documents on the edge of a source's last turn are taken in part, so a source
-    stays near its target. Rows without words are not taken. All columns are kept; rows of one id
-    and text count together and repeat the first of them.
+    A source gives all its words as often as its target holds them, and then the first of them,
+    in the order of ``mixed``, up to the target. Slots only order a mix and their blocks would
+    leave small sources off their targets, so none are used here. One document of a source is
+    taken in part, so a source is off its target by half of that document at most. Rows without
+    words are not taken. All columns are kept; rows of one id and text count together and repeat
+    the first of them.
     """
     row_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
     row_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    placed, _ = _in_place(docs, row_id.alias("_id"), row_hash.alias("_hash"), repeats=repeats)
+    whole = F.expr("cast(round(target) as long) div source_size")
+    rest = F.expr("cast(round(target) as long) % source_size")
     times = (
-        mixed(docs, row_id.alias("_id"), row_hash.alias("_hash"), block=block, repeats=repeats)
-        .where("size > 0")
+        placed.where("size > 0")
+        .withColumn("taken", F.col("size") * whole + F.greatest(
+            F.least(F.col("size"), rest - F.col("_start")), F.lit(0)))
         .groupBy("_id", "_hash").agg(
             F.floor(F.sum("taken") / F.first("size") + 0.5).cast("int").alias("_times"))
         .where("_times > 0")

@@ -76,6 +76,26 @@ def test_mixing_edges(spark, docs_of):
     assert mixing.mix(docs_of(rows)).columns == docs_of(rows).columns
 
 
+def test_mix_meets_targets_of_small_sources(spark, docs_of):
+    rng = np.random.default_rng(4)
+    rows = []
+    for source, size in [("big", 40_000), *((f"s{i:03}", int(rng.integers(1, 300))) for i in range(120))]:
+        while size:
+            n = min(size, int(rng.integers(1, 9)) if source != "big" else 500)
+            rows.append((len(rows), "w " * n, source))
+            size -= n
+    docs = docs_of(rows)
+    target = {r.source: r.target for r in mixing.mixed(docs).collect()}
+    largest, taken = defaultdict(int), defaultdict(int)
+    for _, text, source in rows:
+        largest[source] = max(largest[source], len(text) // 2)
+    for r in mixing.mix(docs).collect():
+        taken[r.source] += len(r.text) // 2
+    assert len(target) == 121
+    for source, wanted in target.items():
+        assert abs(taken[source] - wanted) <= largest[source] / 2 + 1
+
+
 def test_embeddings_recall_and_edges(spark):
     rng = np.random.default_rng(6)
     rows = []

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from profilelake.llm.common import ALNUM, arrow_limits, byte_texts
+from profilelake.llm.common import ALNUM, arrow_limits, byte_texts, stored
 
 WINDOW = 10
 #: Benchmark bytes that one automaton takes (about ten nodes a byte); a larger benchmark is
@@ -133,15 +133,15 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     Repeated rows are rows of their own. Columns of ``docs`` with these names are replaced.
 
     The automaton goes to the tasks, so its size is bounded: a benchmark of more than
-    ``block_bytes`` is dealt over blocks, and the texts pass through one automaton after the
+    ``block_bytes``, rows repeated counting once, is dealt over blocks, and the texts pass through one automaton after the
     other, each adding to the hits of those before.
     """
     spark = docs.sparkSession
     arrow_limits(spark)
-    items = benchmark.select(
+    items = stored(benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
         F.col("text").cast("string"),
-    ).where("text is not null")
+    ).where("text is not null").distinct(), "benchmark-items")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // block_bytes) or 1
     rows = docs.drop(*OWN.names).withColumn("text", F.col("text").cast("string"))

@@ -258,6 +258,16 @@ def test_decontamination_spans_and_columns(spark, docs_of):
     assert decontaminate.report(docs_of(CASES), items.limit(0)).where("contaminated").count() == 0
 
 
+def test_decontamination_passes_repeated_items_once(spark, docs_of, monkeypatch):
+    lists, build = [], decontaminate.automaton
+    monkeypatch.setattr(decontaminate, "automaton", lambda items, n: lists.append(list(items)) or build(lists[-1], n))
+    items = spark.createDataFrame(ITEMS + [ITEMS[0]] * 500, "item_id long, text string")
+    found = decontaminate.report(docs_of(CASES), items).collect()
+    assert Counter(map(tuple, found)) == plain_contamination(CASES, ITEMS)
+    (passed,) = lists
+    assert len(passed) == len(set(passed)) <= len(ITEMS)
+
+
 # ---------------------------------------------------------------------- SimHash
 
 def plain_print(text):

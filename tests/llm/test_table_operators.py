@@ -116,6 +116,24 @@ def test_embeddings_recall_and_edges(spark):
     assert embedding_dups.near_duplicates(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("dim", [64, 128, 384])
+def test_embedding_codes_meet_at_the_threshold(dim):
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    rng = np.random.default_rng(9)
+    a = unit(rng.standard_normal((4000, dim)))
+    away = rng.standard_normal(a.shape)
+    away = unit(away - (away * a).sum(axis=1, keepdims=True) * a)
+    turned = embedding_dups.rotations(a[:1000], embedding_dups.TABLES * embedding_dups.KEY_BITS)
+    for cosine in (0.9, 0.92):
+        b = cosine * a + np.sqrt(1 - cosine**2) * away
+        one, other = (np.packbits(x @ turned >= 0, axis=1).view(">u2") for x in (a, b))
+        share = (one == other).any(axis=1).mean()
+        print(dim, cosine, round(share, 3))
+        assert share >= 0.93
+
+
 def test_embedding_blocks_do_not_change_links(spark, monkeypatch):
     rng = np.random.default_rng(7)
     rows = [(i, (np.ones(16) + rng.normal(size=16) * 0.1).tolist()) for i in range(80)]

@@ -10,10 +10,13 @@ from profilelake.llm import (
     chat,
     decontaminate,
     embedding_dups,
+    hardneg,
     mixing,
+    pieces,
     pii,
     simhash,
     toxicity,
+    variants,
     warc,
 )
 from profilelake.llm.common import table
@@ -82,10 +85,23 @@ def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(configure(spark), sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    return hardneg.mine(table(configure(spark), sf_dir, "embeddings"))
+
+
+def op12_spelling_variants(spark, sf_dir):
+    return variants.variants(table(configure(spark), sf_dir, "documents"))
+
+
+def op13_sentencepiece(spark, sf_dir):
+    return pieces.report(table(configure(spark), sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_pii, op2_bitplanes, op3_brown, op4_toxicity, op5_mixing, op6_embeddings, op7_warc,
-        op8_decontamination, op9_chat, op10_simhash,
+        op8_decontamination, op9_chat, op10_simhash, op11_hard_negatives, op12_spelling_variants,
+        op13_sentencepiece,
     )
 }
 
@@ -95,6 +111,37 @@ _WORDS8 = (
 )
 
 ORACLES = {
+    "op11_hard_negatives": """
+with base as (
+  select row_number() over () as rw, vec_id,
+    case when vec_id % 7 = 0 then (label + 1) % 10 else label end as lab,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+),
+pairs as (
+  select a.rw, a.vec_id as aid, r.vec_id as rid, r.lab = a.lab as same,
+    coalesce(list_sum(list_transform(range(1, greatest(len(a.v), len(r.v)) + 1),
+      lambda i: coalesce(a.v[i], 0) * coalesce(r.v[i], 0))), 0) as score
+  from base a join base r on r.vec_id <> a.vec_id
+  where a.vec_id % 100 = 0
+),
+pos as (
+  select rw, aid, rid as pid, score as ps,
+    row_number() over (partition by rw order by score desc, rid) as pr
+  from pairs where same qualify pr <= 5
+),
+neg as (
+  select p.aid, p.pid, p.ps, n.rid as nid, n.score as ns,
+    row_number() over (partition by p.rw, p.pr order by n.score desc, n.rid) as rk
+  from pos p join pairs n on n.rw = p.rw and not n.same
+    and 30 * p.ps <= 100 * n.score and 100 * n.score <= 90 * p.ps
+)
+select aid as anchor_id, pid as positive_id, cast(rk as integer) as rank, nid as negative_id,
+  ps as positive_score, ns as negative_score
+from neg where rk <= 10
+""",
     "op8_decontamination": f"""
 with b as (select cast(item_id as varchar) item, {_WORDS8} w from benchmark),
 win as (

@@ -37,8 +37,28 @@ _INDEX = np.full(0x100, -1, np.int64)
 for _i, _c in enumerate(ALPHABET):
     _INDEX[ord(_c)] = _i
 
-#: Words per tile, about: a tile pair's Gram matrix is at most 2048 x 2048 doubles (32 MB).
-TILE = 2048
+#: Words of a block per tile, about; a tile pair's products go 2048 x 2048 doubles (32 MB) at a time.
+TILE = 8192
+PART = 2048
+#: Letter groups of a block's key: the letter at place p of ``ALPHABET`` is in group p % GROUPS.
+GROUPS = 3
+_GROUP_LETTERS = ["".join(c for i, c in enumerate(ALPHABET) if i % GROUPS == g) for g in range(GROUPS)]
+
+
+def _offsets(groups: int) -> list[tuple]:
+    """Steps (length, counts of all groups but the last) from a block to its partners."""
+    out = [(0,) * groups]
+    unit = [tuple(int(k == g) for k in range(groups)) for g in range(groups)]
+    for g in range(groups):  # insertion of a letter of group g
+        out.append((1, *unit[g][:-1]))
+    for a in range(groups):  # replacement: a count moves from group b to an earlier group a
+        for b in range(a + 1, groups):
+            moved = tuple(unit[a][k] - unit[b][k] for k in range(groups))
+            out.append((0, *moved[:-1]))
+    return out
+
+
+_OFFSETS = _offsets(GROUPS)
 
 _PAIRS = "word string, other string"
 
@@ -98,38 +118,60 @@ def _tile_pair(group: pa.Table) -> pa.Table:
     a, b = [], []
     if left and right:
         cl, cr = _counts(left), _counts(right)
-        dist = (cl * cl).sum(1)[:, None] + (cr * cr).sum(1)[None, :] - 2.0 * (cl @ cr.T)
-        cand = dist <= 2.0
-        if same:
-            cand = np.triu(cand, 1)
-        for i, j in zip(*np.nonzero(cand)):
-            if one_edit(left[i], right[j]):
-                a.append(left[i])
-                b.append(right[j])
+        nl, nr = (cl * cl).sum(1), (cr * cr).sum(1)
+        for x in range(0, len(left), PART):
+            for y in range(x if same else 0, len(right), PART):
+                dist = nl[x:x + PART, None] + nr[None, y:y + PART] - 2.0 * (cl[x:x + PART] @ cr[y:y + PART].T)
+                cand = dist <= 2.0
+                if same and x == y:
+                    cand = np.triu(cand, 1)
+                for i, j in zip(*np.nonzero(cand)):
+                    if one_edit(left[x + i], right[y + j]):
+                        a.append(left[x + i])
+                        b.append(right[y + j])
     return pa.table({"word": pa.array(a, pa.string()), "other": pa.array(b, pa.string())})
 
 
 def near_pairs(vocab: DataFrame) -> DataFrame:
-    """Unordered pairs ``word, other`` of ``vocab`` words one edit apart, each once."""
-    lengths = stored(vocab.groupBy(F.length("word").alias("len")).count(), "variants-lengths")
-    tiles = lengths.select("len", F.greatest(F.lit(1), F.ceil(F.col("count") / TILE)).alias("t"))
-    placed = vocab.join(F.broadcast(tiles), F.length("word") == tiles["len"]).select(
-        "word", "len", F.pmod(F.xxhash64("word"), F.col("t")).alias("tile"))
-    # Tile pairs: a tile with each tile of its length (itself once), and with each of the next.
-    own = tiles.select("len", F.explode(F.sequence(F.lit(0), F.col("t") - 1)).alias("i"), "t") \
-        .select(F.col("len").alias("l1"), "i", F.col("len").alias("l2"),
-                F.explode(F.sequence(F.col("i"), F.col("t") - 1)).alias("j"))
-    nxt = tiles.alias("x").join(tiles.alias("y"), F.col("y.len") == F.col("x.len") + 1).select(
-        F.col("x.len").alias("l1"), F.explode(F.sequence(F.lit(0), F.col("x.t") - 1)).alias("i"),
-        F.col("y.len").alias("l2"), F.col("y.t").alias("ty")) \
-        .select("l1", "i", "l2", F.explode(F.sequence(F.lit(0), F.col("ty") - 1)).alias("j"))
-    pairs = stored(own.unionByName(nxt), "variants-tilepairs")
-    diag = (F.col("l1") == F.col("l2")) & (F.col("i") == F.col("j"))
-    key = F.struct("l1", "i", "l2", "j").alias("key")
-    as_left = placed.join(pairs, (placed["len"] == pairs["l1"]) & (placed["tile"] == pairs["i"])) \
-        .select(key, "word", F.when(diag, 2).otherwise(0).alias("side"))
-    as_right = placed.join(pairs, (placed["len"] == pairs["l2"]) & (placed["tile"] == pairs["j"])) \
-        .where(~diag).select(key, "word", F.lit(1).alias("side"))
+    """Unordered pairs ``word, other`` of ``vocab`` words one edit apart, each once.
+
+    A block holds the words of one length and one count of letters in each of ``GROUPS``
+    groups of the alphabet. An insertion adds one to the length and to one group's count; a
+    replacement moves one count from a group to another, or none. So a block meets itself, the
+    blocks of the next length with one count more, and those of its length with one count moved
+    up the order of groups: at most 1 + G + G (G - 1) / 2 blocks, those that exist. A block of
+    more than ``TILE`` words is cut into tiles by a hash, and every tile meets every tile of its
+    partner.
+    """
+    sig = [F.length("word").alias("len")] + [
+        F.length(F.regexp_replace("word", f"[^{letters}]", "")).alias(f"g{g}")
+        for g, letters in enumerate(_GROUP_LETTERS[:-1])]
+    keys = ["len"] + [f"g{g}" for g in range(GROUPS - 1)]
+    placed = vocab.select("word", *sig)
+    blocks = stored(placed.groupBy(*keys).count(), "variants-blocks")
+    tiles = blocks.select(*keys, F.greatest(F.lit(1), F.ceil(F.col("count") / TILE)).cast("int").alias("t"))
+    placed = placed.join(F.broadcast(tiles), keys).select(
+        "word", *keys, F.pmod(F.xxhash64("word"), F.col("t")).cast("int").alias("tile"))
+    # partner blocks by offsets of (len, g0, g1, ...); the last group's count follows from the length
+    steps = F.array(*[F.struct(*[F.lit(v).alias(f"d{i}") for i, v in enumerate(o)]) for o in _OFFSETS])
+    mine = tiles.select(*keys, "t", F.explode(steps).alias("o"))
+    partner = mine.select(
+        *[F.col(k).alias(f"a_{k}") for k in keys], F.col("t").alias("a_t"),
+        *[(F.col(k) + F.col(f"o.d{i}")).alias(f"b_{k}") for i, k in enumerate(keys)],
+        (sum(F.abs(F.col(f"o.d{i}")) for i in range(len(keys))) == 0),
+    ).toDF(*[f"a_{k}" for k in keys], "a_t", *[f"b_{k}" for k in keys], "diag")
+    other = tiles.select(*[F.col(k).alias(f"b_{k}") for k in keys], F.col("t").alias("b_t"))
+    block_pairs = partner.join(other, [f"b_{k}" for k in keys])
+    pairs = stored(block_pairs.select(
+        "*", F.explode(F.sequence(F.lit(0), F.col("a_t") - 1)).alias("i")).select(
+        "*", F.explode(F.sequence(F.when(F.col("diag"), F.col("i")).otherwise(0), F.col("b_t") - 1)).alias("j")
+    ).drop("a_t", "b_t"), "variants-tilepairs")
+    diag_tile = F.col("diag") & (F.col("i") == F.col("j"))
+    key = F.struct(*[f"a_{k}" for k in keys], "i", *[f"b_{k}" for k in keys], "j").alias("key")
+    left_on = [placed[k] == pairs[f"a_{k}"] for k in keys] + [placed["tile"] == pairs["i"]]
+    right_on = [placed[k] == pairs[f"b_{k}"] for k in keys] + [placed["tile"] == pairs["j"]]
+    as_left = placed.join(pairs, left_on).select(key, "word", F.when(diag_tile, 2).otherwise(0).alias("side"))
+    as_right = placed.join(pairs, right_on).where(~diag_tile).select(key, "word", F.lit(1).alias("side"))
     return as_left.unionByName(as_right).groupBy("key").applyInArrow(_tile_pair, _PAIRS)
 
 

@@ -97,15 +97,50 @@ def one_edit(a: str, b: str) -> bool:
 
 
 def _counts(texts: list[str]) -> np.ndarray:
-    out = np.zeros((len(texts), len(ALPHABET)), np.float64)
-    for row, w in enumerate(texts):
-        codes = np.frombuffer(w.encode("utf-32-le"), np.uint32)
-        np.add.at(out[row], _INDEX[np.minimum(codes, 0xFF)], 1.0)
+    """Letter counts of words, one row each, from one pass over all their code points."""
+    width = len(ALPHABET)
+    if not texts:
+        return np.zeros((0, width), np.float64)
+    lengths = np.fromiter((len(w) for w in texts), np.int64, len(texts))
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    cells = np.repeat(np.arange(len(texts)) * width, lengths) + _INDEX[np.minimum(codes, 0xFF)]
+    return np.bincount(cells, minlength=len(texts) * width).reshape(len(texts), width).astype(np.float64)
+
+
+def _codes(texts: list[str], width: int) -> np.ndarray:
+    """Code points of words, one zero-padded row each."""
+    out = np.zeros((len(texts), width), np.uint32)
+    if texts:
+        lengths = np.fromiter((len(w) for w in texts), np.int64, len(texts))
+        codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+        starts = np.cumsum(lengths) - lengths
+        out[np.repeat(np.arange(len(texts)), lengths),
+            np.arange(len(codes)) - np.repeat(starts, lengths)] = codes
     return out
 
 
+def _one_edit_many(a: np.ndarray, la: int, b: np.ndarray, lb: int) -> np.ndarray:
+    """``one_edit`` of row pairs of two code matrices whose words have lengths la and lb."""
+    if la == lb:
+        return (a != b).sum(1) == 1
+    if abs(la - lb) != 1:
+        return np.zeros(len(a), bool)
+    short, long_, n = (a, b, la) if la < lb else (b, a, lb)
+    same = short[:, :n] == long_[:, :n]
+    first = np.where(same.all(1), n, same.argmin(1))
+    shifted = short[:, :n] == long_[:, 1:n + 1]
+    rest = np.ones((len(a), n + 1), bool)  # rest[:, k]: short[k:] == long[k + 1:]
+    rest[:, :n] = np.flip(np.cumprod(np.flip(shifted, 1), 1), 1).astype(bool)
+    return rest[np.arange(len(a)), first]
+
+
 def _tile_pair(group: pa.Table) -> pa.Table:
-    """Near pairs of one tile pair; side 0 left, 1 right, 2 both (a tile with itself)."""
+    """Near pairs of one tile pair; side 0 left, 1 right, 2 both (a tile with itself).
+
+    All words of a side have one length (that of their block). Squared distances come from
+    products of letter counts, 2048 x 2048 at a time; candidates at most two apart are
+    verified by the exact edit test on code-point matrices, all at once.
+    """
     side = group["side"].to_numpy()
     texts = group["word"].to_pylist()
     if (side == 2).any():
@@ -117,18 +152,20 @@ def _tile_pair(group: pa.Table) -> pa.Table:
         same = False
     a, b = [], []
     if left and right:
+        la, lb = len(left[0]), len(right[0])
         cl, cr = _counts(left), _counts(right)
         nl, nr = (cl * cl).sum(1), (cr * cr).sum(1)
+        wl, wr = _codes(left, la), _codes(right, lb)
         for x in range(0, len(left), PART):
             for y in range(x if same else 0, len(right), PART):
                 dist = nl[x:x + PART, None] + nr[None, y:y + PART] - 2.0 * (cl[x:x + PART] @ cr[y:y + PART].T)
                 cand = dist <= 2.0
                 if same and x == y:
                     cand = np.triu(cand, 1)
-                for i, j in zip(*np.nonzero(cand)):
-                    if one_edit(left[x + i], right[y + j]):
-                        a.append(left[x + i])
-                        b.append(right[y + j])
+                i, j = np.nonzero(cand)
+                ok = _one_edit_many(wl[x + i], la, wr[y + j], lb)
+                a.extend(left[k] for k in x + i[ok])
+                b.extend(right[k] for k in y + j[ok])
     return pa.table({"word": pa.array(a, pa.string()), "other": pa.array(b, pa.string())})
 
 

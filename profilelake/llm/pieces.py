@@ -9,9 +9,8 @@ model that adds no marker of its own, and the ids are joined back to every occur
 The ids of a document are its chunks' ids in order; the library's ``decode`` turns them back into
 text.
 
-``pieces_cross_markers`` checks the premise on the model; ``encode`` refuses a model where it does
-not hold. Chunks so frequent that they could overload one task (each at least ``1 / HOT`` of all
-occurrences, so at most ``HOT`` of them) are joined from a broadcast table; all others by a shuffle.
+``pieces_cross_markers`` checks the premise on the model; ``encoded`` refuses a model where it does
+not hold.
 """
 
 from __future__ import annotations
@@ -19,7 +18,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +28,8 @@ from profilelake.llm.common import stored
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-#: Chunks with at least this share of all occurrences are few and go by broadcast: 1/HOT each.
-HOT = 1024
+#: Consecutive rows of a scan partition that form one group and share one chunk table.
+GROUP = 1024
 
 
 def _path(model: str) -> str:
@@ -79,54 +80,80 @@ def _encoder(model: str):
             chunks = batch.column("chunk").to_pylist()
             ids = plain.encode(chunks, num_threads=1) if chunks else []
             yield pa.RecordBatch.from_arrays(
-                [batch.column("chunk"), batch.column("cnt"), pa.array(ids, pa.list_(pa.int32()))],
-                names=["chunk", "cnt", "ids"])
+                [batch.column("chunk"), pa.array(ids, pa.list_(pa.int32()))], names=["chunk", "ids"])
     return run
 
 
-def _decoder(model: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        full, _ = processors(model)
-        for batch in batches:
-            ids = [i or [] for i in batch.column("ids").to_pylist()]
-            texts = full.decode(ids) if ids else []
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), pa.array(texts, pa.string())], names=["_row", "decoded"])
-    return run
-
+def _gather(docs: pa.Table, table: pa.Table, model: str) -> pa.Table:
+    """Ids and decoded text of a group's documents, from the group's chunk table.
 
-def encode(documents: DataFrame, model: str = MODEL) -> DataFrame:
-    """``_row, doc_id, ids``: each document row's ids, as the library encodes its whole text.
-
-    Null and empty texts give no ids. Repeated rows are encoded each (``_row`` tells them apart).
-    Only ``doc_id`` and ``text`` are read.
+    Tokens are dictionary-encoded (Arrow), their distinct chunks looked up in the table, and
+    the ids gathered by position with NumPy; only decoding runs per document, in the library.
+    """
+    full, _ = processors(model)
+    chunks = docs["chunks"].combine_chunks()
+    per_doc = chunks.value_lengths().to_numpy(zero_copy_only=False)
+    tokens = chunks.flatten()
+    if len(tokens):
+        encoded = tokens.dictionary_encode()
+        found = pc.index_in(encoded.dictionary, value_set=table["chunk"].combine_chunks()).to_numpy(
+            zero_copy_only=False)
+        if (found < 0).any():
+            raise ValueError("a chunk is missing from its group's table")
+        lists = table["ids"].combine_chunks()
+        all_ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+        offsets = lists.offsets.to_numpy()[:-1].astype(np.int64)
+        widths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        row = found[encoded.indices.to_numpy(zero_copy_only=False)]
+        lengths = widths[row]
+        total = int(lengths.sum())
+        firsts = np.cumsum(lengths) - lengths
+        flat = all_ids[np.repeat(offsets[row] - firsts, lengths) + np.arange(total)]
+        token_end = np.cumsum(lengths)
+        doc_end = np.cumsum(per_doc)
+        ends = np.where(doc_end > 0, token_end[np.maximum(doc_end - 1, 0)], 0)
+    else:
+        flat = np.zeros(0, np.int32)
+        ends = np.zeros(len(per_doc), np.int64)
+    bounds = np.r_[0, ends].astype(np.int32)
+    texts = full.decode([flat[bounds[i]:bounds[i + 1]].tolist() for i in range(len(per_doc))]) \
+        if len(per_doc) else []
+    return pa.table({
+        "doc_id": docs["doc_id"], "ids": pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
+        "decoded": pa.array(texts, pa.string()),
+    })
+
+
+def encoded(documents: DataFrame, model: str = MODEL) -> DataFrame:
+    """``doc_id, ids, decoded``: each document row's ids, as the library encodes its whole text,
+    and the library's decoding of them.
+
+    Documents are grouped where they are read: a group is ``GROUP`` consecutive rows of one
+    scan partition, so no group is larger than that, hot or not. Spark takes the distinct
+    (group, chunk) pairs, combining in each task first; the distinct chunks of all groups are
+    encoded once, in a table joined back to the pairs by chunk (a chunk has at most one row per
+    group, so a frequent one does not load a task); each group then meets its own chunk table.
+    Null and empty texts give no ids. Repeated rows are encoded each. Only ``doc_id`` and
+    ``text`` are read.
     """
     if pieces_cross_markers(model):
         raise ValueError(f"{model}: pieces cross markers; chunks cannot be encoded apart")
-    docs = stored(documents.select(F.col("doc_id"), normalized(F.col("text")).alias("norm"))
-                  .withColumn("_row", F.monotonically_increasing_id()), "pieces-docs")
-    occ = stored(docs.select("_row", F.posexplode(
-        F.split("norm", f"(?<=[^{MARK}])(?={MARK})")).alias("pos", "chunk"))
-        .where(F.length("chunk") > 0), "pieces-occ")
-    counts = occ.groupBy("chunk").agg(F.count("*").alias("cnt"))
-    vocab = stored(counts.mapInArrow(_encoder(model), "chunk string, cnt long, ids array<int>"),
-                   "pieces-vocab")
-    total = occ.count()
-    hot = vocab.where(F.col("cnt") * HOT >= total).select("chunk", "ids")  # at most HOT rows
-    cold = vocab.where(F.col("cnt") * HOT < total).select("chunk", "ids")
-    from_hot = occ.join(F.broadcast(hot), "chunk")
-    from_cold = occ.join(F.broadcast(hot.select("chunk")), "chunk", "left_anti").join(cold, "chunk")
-    placed = from_hot.unionByName(from_cold)
-    per_doc = placed.groupBy("_row").agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "ids"))),
-                              lambda x: x["ids"])).alias("ids"))
-    return docs.join(per_doc, "_row", "left").select(
-        "_row", "doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
-
-
-def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
-    """``_row, decoded``: the library's ``decode`` of each row's ids."""
-    return encoded.select("_row", "ids").mapInArrow(_decoder(model), "_row long, decoded string")
+    row_in_part = F.monotonically_increasing_id() % F.lit(1 << 33)
+    docs = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.split(normalized(F.col("text")), f"(?<=[^{MARK}])(?={MARK})").alias("c"),
+        (F.spark_partition_id().cast("long") * F.lit(1 << 31) + F.floor(row_in_part / GROUP)).alias("g"),
+    ).select("doc_id", "g", F.filter("c", lambda x: F.length(x) > 0).alias("chunks"))
+    pairs = stored(docs.select("g", F.explode("chunks").alias("chunk")).distinct(), "pieces-pairs")
+    vocab = stored(pairs.select("chunk").distinct().mapInArrow(
+        _encoder(model), "chunk string, ids array<int>"), "pieces-vocab")
+    table = pairs.join(vocab, "chunk")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _gather(left, right, model)
+
+    return docs.groupBy("g").cogroup(table.groupBy("g")).applyInArrow(
+        run, "doc_id long, ids array<int>, decoded string")
 
 
 def report(documents: DataFrame, model: str = MODEL) -> DataFrame:
@@ -135,10 +162,8 @@ def report(documents: DataFrame, model: str = MODEL) -> DataFrame:
     ``ids_sha256`` digests the decimal ids joined by commas (the empty text for no ids),
     ``decoded_sha256`` the decoded text in UTF-8. One row per input row, repeated rows included.
     """
-    ids = stored(encode(documents, model), "pieces-ids")
-    texts = decode(ids, model)
-    return ids.join(texts, "_row").select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+    return encoded(documents, model).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.transform("ids", lambda i: i.cast("string")), ","), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )

@@ -152,9 +152,9 @@ def test_pieces_empty(spark, docs_of):
     assert pieces.report(docs_of([])).count() == 0
 
 
-def test_pieces_hot_chunks(spark, docs_of, monkeypatch):
-    """Chunks over the broadcast share and those below give the same ids."""
-    monkeypatch.setattr(pieces, "HOT", 4)
+def test_pieces_small_groups(spark, docs_of, monkeypatch):
+    """Groups of a few rows, each with its own chunk table, give the same ids as one."""
+    monkeypatch.setattr(pieces, "GROUP", 3)
     rows = [(i, "the cat " * (i % 5) + f"word{i}") for i in range(60)]
     assert sorted(map(tuple, pieces.report(docs_of(rows)).collect())) == sorted(_digests(rows))
 

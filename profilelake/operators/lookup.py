@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from profilelake.functions.cleaning import iso_date
 from profilelake.functions.dates import dated
 from profilelake.schema import MAX_LEVELS_SHOWN, require_param
-from profilelake.sources.tables import latest_rows
+from profilelake.sources.tables import id_platform, latest_rows, platform_bucket
 
 # ids of a list up to this long are also written into the scan's filter
 LITERAL_IDS = 1_000
@@ -56,6 +56,8 @@ def float_profiles(
     both = tagged(profiles, bgc)
     if platform_number is not None:
         both = both.where(F.col("platform_number") == platform_number)
+        if "bucket" in both.columns:  # the float's bucket: one folder per year is read
+            both = both.where(F.col("bucket") == platform_bucket(platform_number))
     totals = both.groupBy("platform_number").agg(
         F.count_if(F.col("source") == "core").alias("total_core"),
         F.count_if(F.col("source") == "bgc").alias("total_bgc"),
@@ -116,7 +118,10 @@ def _among(profiles: DataFrame, ids: list[str] | DataFrame, suffixed: bool = Fal
     names = {pid for pid in ids if pid is not None}
     if suffixed:
         names |= {f"{pid}_BGC" for pid in names}
-    return profiles.where(F.col("profile_id").isin(sorted(names)))
+    rows = profiles.where(F.col("profile_id").isin(sorted(names)))
+    if "bucket" in profiles.columns:  # only the buckets of the ids' platforms are read
+        rows = rows.where(F.col("bucket").isin(sorted({platform_bucket(id_platform(p)) for p in names})))
+    return rows
 
 
 def lookup_profiles(

@@ -73,31 +73,41 @@ def upsert_profiles(store: Store, table: str, profiles: DataFrame) -> DataFrame:
 def merge_profiles(
     store: Store, table: str, batch: DataFrame, sources: DataFrame | None = None
 ) -> DataFrame:
-    """Merge rows, one per id, into a profile table; the cost follows the years they touch.
-
-    Only the years of the new rows and of the stored rows they replace are read in full and
-    written. Of the other years the ids are read. ``sources`` are stored rows that ``batch``
-    is derived from, if it is not itself stored.
+    """Merge rows, one per id, into a profile table; the cost follows the partitions they touch.
+
+    A profile table is partitioned by year and by the bucket of the platform an id starts with.
+    Only the (year, bucket) partitions of the new rows and of the stored rows they replace are
+    read in full and written: a batch of one float rewrites one bucket in each year it touches.
+    Of the other partitions the ids are read. ``sources`` are stored rows that ``batch`` is
+    derived from, if it is not itself stored. A table stored before buckets existed is
+    rewritten whole once.
     """
     path = store.path(table)
+    layout = tables.PROFILE_PARTITIONS
     if not store.exists(table):
-        return tables.write_table(tables.profile_layout(batch), path, "year", bloom="profile_id")
+        return tables.write_table(tables.profile_layout(batch), path, layout, bloom="profile_id")
     old = store.read(table)
+    if "bucket" not in old.columns:
+        merged = tables.merge_rows(old.drop("year"), batch, ["profile_id"], OPTIONAL_COLUMNS)
+        return tables.write_table(tables.profile_layout(merged), path, layout, bloom="profile_id")
     new = (batch if sources is None else sources).select(
-        "profile_id", F.year("timestamp").alias("year")
+        "profile_id", F.year("timestamp").alias("year"),
+        tables.id_bucket(F.col("profile_id")).alias("bucket"),
     )
-    replaced = old.select("profile_id", "year").join(new, "profile_id", "left_semi")
-    years = [r.year for r in new.union(replaced).select("year").distinct().collect()]
-    if not years:
+    replaced = old.select("profile_id", *layout).join(new.select("profile_id"), "profile_id", "left_semi")
+    # at most years x BUCKETS pairs, whatever the batch's size
+    parts = [(r.year, r.bucket) for r in new.select(*layout).union(replaced.select(*layout)).distinct().collect()]
+    if not parts:
         return old
-    touched = F.col("year").isin([y for y in years if y is not None])
-    if None in years:
-        touched = touched | F.col("year").isNull()
+    touched = F.lit(False)
+    for year, bucket in parts:
+        same_year = F.col("year").isNull() if year is None else F.col("year") == year
+        touched = touched | (same_year & (F.col("bucket") == bucket))
     merged = tables.merge_rows(
-        old.where(touched).drop("year"), batch, ["profile_id"], OPTIONAL_COLUMNS
+        old.where(touched).drop(*layout), batch, ["profile_id"], OPTIONAL_COLUMNS
     )
     return tables.replace_partitions(
-        tables.profile_layout(merged), path, "year", years, bloom="profile_id"
+        tables.profile_layout(merged), path, layout, parts, bloom="profile_id"
     )
 
 

@@ -16,6 +16,38 @@ from profilelake.functions.geo import square
 
 #: Values per row group that a Bloom filter is made for.
 BLOOM_VALUES = 20_000
+#: Hash buckets of the platform inside each year: a late row rewrites its bucket, not its year.
+BUCKETS = 16
+#: The platform with which a profile id starts (ids are ``platform_cycle[D][_BGC]``).
+ID_PLATFORM = r"^(.*)_[0-9]+D?(_BGC)?$"
+#: Partition columns of the profile tables, outer first.
+PROFILE_PARTITIONS = ["year", "bucket"]
+
+
+def bucket_of(platform: Column) -> Column:
+    """The bucket of a platform number; a null platform counts as the empty text."""
+    return F.pmod(F.xxhash64(F.coalesce(platform.cast("string"), F.lit(""))), F.lit(BUCKETS)).cast("int")
+
+
+def platform_bucket(platform: str | None) -> int:
+    """``bucket_of`` on the driver, for literals in look-ups: Spark's xxhash64 is XXH64, seed 42."""
+    import xxhash
+
+    h = xxhash.xxh64_intdigest((platform or "").encode("utf-8"), seed=42)
+    return (h - (1 << 64) if h >= 1 << 63 else h) % BUCKETS
+
+
+def id_platform(profile_id: str) -> str:
+    """The platform an id starts with, as ``id_bucket`` reads it."""
+    import re
+
+    m = re.match(ID_PLATFORM, profile_id)
+    return m.group(1) if m else ""
+
+
+def id_bucket(profile_id: Column) -> Column:
+    """The bucket of the platform an id starts with; an id of another form counts as empty."""
+    return bucket_of(F.regexp_extract(profile_id, ID_PLATFORM, 1))
 
 
 def _names(spark: SparkSession, pattern: str, up: int = 0) -> list[str]:
@@ -87,7 +119,7 @@ def read_table(spark: SparkSession, root: str) -> DataFrame:
 
 
 def write_table(
-    df: DataFrame, root: str, partition_by: str | None = None, kept: list[str] = (),
+    df: DataFrame, root: str, partition_by: str | list[str] | None = None, kept: list[str] = (),
     bloom: str | None = None,
 ) -> DataFrame:
     """Write ``df`` as the next snapshot and return it as read back, with the partition
@@ -102,7 +134,7 @@ def write_table(
     _write_note(spark, root, "kept", number, list(kept))
     writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(partition_by)
+        writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     if bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{bloom}", "true").option(
             f"parquet.bloom.filter.expected.ndv#{bloom}", str(BLOOM_VALUES))
@@ -110,34 +142,60 @@ def write_table(
     return _snapshot(spark, root, number)
 
 
+def _folder(columns: list[str], values: tuple) -> str:
+    return "/".join(
+        f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(columns, values))
+
+
+def _partition_folders(spark: SparkSession, root: str, number: int, columns: list[str]) -> list[str]:
+    """``snapshot=<number>/<c1>=<v1>/...`` for every partition a snapshot wrote itself."""
+    pattern = "/".join(f"{c}=*" for c in columns)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/snapshot={number}/{pattern}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for status in fs.globStatus(path) or []:
+        p, parts = status.getPath(), []
+        for _ in columns:
+            parts.append(p.getName())
+            p = p.getParent()
+        out.append("/".join([f"snapshot={number}", *reversed(parts)]))
+    return out
+
+
 def replace_partitions(
-    df: DataFrame, root: str, column: str, values: list, bloom: str | None = None
+    df: DataFrame, root: str, column: str | list[str], values: list, bloom: str | None = None
 ) -> DataFrame:
     """Write ``df`` as all rows of the partitions ``values``; the others stay where they lie.
 
-    The note of kept folders has one entry per partition of the table.
+    ``column`` names the partition columns, outer first; ``values`` holds one value, or one
+    tuple of values, per partition. The note of kept folders has one entry per partition.
     """
     spark = df.sparkSession
+    columns = [column] if isinstance(column, str) else list(column)
     number = _complete_snapshots(spark, root)[-1]
-    folders = [f"snapshot={number}/{n}" for n in _names(spark, f"{root}/snapshot={number}/{column}=*")]
+    folders = _partition_folders(spark, root, number, columns)
     folders += _read_note(spark, root, "kept", number) or []
-    replaced = {f"{column}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for v in values}
-    untouched = [f for f in folders if f.split("/")[1] not in replaced]
-    return write_table(df, root, column, untouched, bloom)
+    replaced = {_folder(columns, v if isinstance(v, tuple) else (v,)) for v in values}
+    untouched = [f for f in folders if f.split("/", 1)[1] not in replaced]
+    return write_table(df, root, columns, untouched, bloom)
 
 
 def profile_layout(profiles: DataFrame) -> DataFrame:
-    """Rows placed for storage: by year, sorted by ten-degree square, float and cycle.
+    """Rows placed for storage: by year and platform bucket, sorted by ten-degree square, float
+    and cycle.
 
-    The rebalance lets adaptive execution split big years and merge small ones by size. Inside
-    a file a box of latitude and longitude skips row groups by their minimum and maximum, a
-    float, which stays in few squares, by the dictionary, and a profile id by its Bloom filter.
+    The rebalance lets adaptive execution split big partitions and merge small ones by size.
+    Inside a file a box of latitude and longitude skips row groups by their minimum and maximum,
+    a float, which stays in few squares, by the dictionary, and a profile id by its Bloom filter.
+    A float's profiles share a bucket, so look-ups by float or id read one bucket per year.
     """
     return (
         profiles.withColumn("year", F.year("timestamp"))
-        .hint("rebalance", "year")
+        .withColumn("bucket", id_bucket(F.col("profile_id")))
+        .hint("rebalance", "year", "bucket")
         .sortWithinPartitions(
-            "year", F.expr(square("latitude", "longitude")), "platform_number", "cycle_number"
+            "year", "bucket", F.expr(square("latitude", "longitude")), "platform_number",
+            "cycle_number",
         )
     )
 

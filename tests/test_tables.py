@@ -151,24 +151,32 @@ def test_stream_equals_batch_and_repeats_safely(spark, sf_dir):
     assert stream.read("profiles").count() == batch.read("profiles").count()
 
 
-def test_an_upsert_rewrites_only_the_years_it_touches(spark, sf_dir):
+def test_an_upsert_rewrites_only_the_buckets_it_touches(spark, sf_dir):
     store = ingest.Store(spark, fresh_path(spark, "years"))
     ingest.ingest(store, fixtures.bronze(spark, sf_dir))
     before = store.read("profiles")
-    stored, was = before.count(), {r.year for r in before.select("year").distinct().collect()}
+    stored = before.count()
     row = before.where("year = 1996").orderBy("profile_id").limit(1)
-    moved = row.drop("year").withColumns({
+    bucket = row.first().bucket
+    moved = row.drop("year", "bucket").withColumns({
         "timestamp": F.expr("timestamp_ntz'1997-07-01 00:00:00'"), "pi_name": F.lit("moved")})
     after = ingest.upsert_profiles(store, "profiles", moved)
     assert after.count() == stored
-    assert [(r.year, r.pi_name) for r in after.join(row.select("profile_id"), "profile_id").collect()] == [
-        (1997, "moved")]
+    assert [(r.year, r.bucket, r.pi_name) for r in after.join(row.select("profile_id"), "profile_id").collect()] == [
+        (1997, bucket, "moved")]
+
     def files(df, touched):
-        return {f for f in df.inputFiles() if ("year=1996" in f or "year=1997" in f) == touched}
+        inside = (f"year=1996/bucket={bucket}/", f"year=1997/bucket={bucket}/")
+        return {f for f in df.inputFiles() if any(p in f for p in inside) == touched}
 
-    assert len(was) > 3
+    assert before.select("bucket").distinct().count() > 3
     assert files(after, False) == files(before, False) and files(before, False)
     assert not files(after, True) & files(before, True)
+    # the snapshot the upsert wrote holds the touched buckets only
+    newest = max(tables.complete_folders(spark, store.path("profiles"), "snapshot"))
+    written = {f.split(f"snapshot={newest}/")[1].rsplit("/", 1)[0]
+               for f in after.inputFiles() if f"snapshot={newest}/" in f}
+    assert written <= {f"year=1996/bucket={bucket}", f"year=1997/bucket={bucket}"} and written
     undated = moved.withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
     for _ in range(2):
         again = ingest.upsert_profiles(store, "profiles", undated)
@@ -176,6 +184,25 @@ def test_an_upsert_rewrites_only_the_years_it_touches(spark, sf_dir):
     assert ingest.upsert_profiles(store, "profiles", undated.limit(0)).count() == stored
 
 
+def test_one_float_rewrites_one_bucket_per_year(spark, sf_dir):
+    store = ingest.Store(spark, fresh_path(spark, "float"))
+    ingest.ingest(store, fixtures.bronze(spark, sf_dir))
+    before = store.read("profiles")
+    platform = before.groupBy("platform_number").count().orderBy(F.desc("count"), "platform_number").first()[0]
+    mine = before.where(F.col("platform_number") == platform)
+    years = {r.year for r in mine.select("year").distinct().collect()}
+    changed = mine.drop("year", "bucket").withColumn("pi_name", F.lit("late correction"))
+    after = ingest.upsert_profiles(store, "profiles", changed)
+    newest = max(tables.complete_folders(spark, store.path("profiles"), "snapshot"))
+    written = {f.split(f"snapshot={newest}/")[1].rsplit("/", 1)[0]
+               for f in after.inputFiles() if f"snapshot={newest}/" in f}
+    bucket = tables.platform_bucket(platform)
+    assert written == {f"year={y}/bucket={bucket}" for y in years}
+    assert after.where(F.col("pi_name") == "late correction").count() == mine.count()
+    assert rows(after.where(F.col("platform_number") != platform)) == rows(
+        before.where(F.col("platform_number") != platform))
+
+
 def test_small_delivery_equals_one_large(spark, sf_dir):
     bronze = fixtures.bronze(spark, sf_dir)
     whole = ingest.Store(spark, fresh_path(spark, "whole"))
@@ -235,6 +262,38 @@ def test_documents_last_wins(spark):
     assert store.read("documents").count() == 1
 
 
+def test_document_merge_rewrites_only_touched_buckets(spark):
+    store = ingest.Store(spark, fresh_path(spark, "docbuckets"))
+    df = spark.range(400).selectExpr(
+        "if(id % 2 = 0, 'profiles', 'floats') as collection", "concat('d', id) as id",
+        "concat('text ', id) as document", "array(cast(id as float)) as embedding")
+    first = docstore.upsert_documents(store, df)
+    assert first.select("bucket").distinct().count() == docstore.BUCKETS
+
+    def stamps(frame):
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        out = {}
+        for f in frame.inputFiles():
+            path = jvm.org.apache.hadoop.fs.Path(f)
+            out[f] = path.getFileSystem(conf).getFileStatus(path).getModificationTime()
+        return out
+
+    before = stamps(first)
+    change = spark.createDataFrame([("profiles", "d10", "new text", None)],
+                                   "collection string, id string, document string, embedding array<float>")
+    after = docstore.upsert_documents(store, change)
+    bucket = after.where("id = 'd10'").first().bucket
+    now = stamps(after)
+    touched = f"collection=profiles/bucket={bucket}/"
+    assert {f: t for f, t in now.items() if touched not in f} == {
+        f: t for f, t in before.items() if touched not in f}
+    assert not {f for f in now if touched in f} & set(before)
+    got = {r.id: (r.document, r.embedding) for r in after.collect()}
+    assert len(got) == 400 and got["d10"] == ("new text", None)
+    assert got["d12"] == ("text 12", [12.0]) and got["d11"] == ("text 11", [11.0])
+
+
 def test_routing(spark, sf_dir):
     profiles = normalize(fixtures.bronze(spark, sf_dir)).select("file_type", "profile_id")
     assert {r[0] for r in core_profiles(profiles).select("file_type").distinct().collect()} == {

@@ -40,6 +40,8 @@ for _i, _c in enumerate(ALPHABET):
 #: Words of a block per tile, about; a tile pair's products go 2048 x 2048 doubles (32 MB) at a time.
 TILE = 8192
 PART = 2048
+#: Words of the tile pairs that share one Python call, about.
+GROUP_WORDS = 65536
 #: Letter groups of a block's key: the letter at place p of ``ALPHABET`` is in group p % GROUPS.
 GROUPS = 3
 _GROUP_LETTERS = ["".join(c for i, c in enumerate(ALPHABET) if i % GROUPS == g) for g in range(GROUPS)]
@@ -134,38 +136,50 @@ def _one_edit_many(a: np.ndarray, la: int, b: np.ndarray, lb: int) -> np.ndarray
     return rest[np.arange(len(a)), first]
 
 
-def _tile_pair(group: pa.Table) -> pa.Table:
-    """Near pairs of one tile pair; side 0 left, 1 right, 2 both (a tile with itself).
+def _tile_pair(left: list[str], right: list[str], same: bool, a: list, b: list) -> None:
+    """Near pairs of one tile pair, appended to ``a`` and ``b``.
 
     All words of a side have one length (that of their block). Squared distances come from
-    products of letter counts, 2048 x 2048 at a time; candidates at most two apart are
+    products of letter counts, ``PART`` x ``PART`` at a time; candidates at most two apart are
     verified by the exact edit test on code-point matrices, all at once.
     """
+    if not left or not right:
+        return
+    la, lb = len(left[0]), len(right[0])
+    cl, cr = _counts(left), _counts(right)
+    nl, nr = (cl * cl).sum(1), (cr * cr).sum(1)
+    wl, wr = _codes(left, la), _codes(right, lb)
+    for x in range(0, len(left), PART):
+        for y in range(x if same else 0, len(right), PART):
+            dist = nl[x:x + PART, None] + nr[None, y:y + PART] - 2.0 * (cl[x:x + PART] @ cr[y:y + PART].T)
+            cand = dist <= 2.0
+            if same and x == y:
+                cand = np.triu(cand, 1)
+            i, j = np.nonzero(cand)
+            ok = _one_edit_many(wl[x + i], la, wr[y + j], lb)
+            a.extend(left[k] for k in x + i[ok])
+            b.extend(right[k] for k in y + j[ok])
+
+
+def _tile_pairs(group: pa.Table) -> pa.Table:
+    """Near pairs of all tile pairs of a group (``pid`` names one; side 0 left, 1 right, 2
+    both, for a tile with itself)."""
+    pid = group["pid"].to_numpy()
     side = group["side"].to_numpy()
-    texts = group["word"].to_pylist()
-    if (side == 2).any():
-        left = right = [t for t, s in zip(texts, side) if s == 2]
-        same = True
-    else:
-        left = [t for t, s in zip(texts, side) if s == 0]
-        right = [t for t, s in zip(texts, side) if s == 1]
-        same = False
+    words = group["word"].to_pylist()
+    order = np.lexsort((side, pid))
+    cuts = np.flatnonzero(np.diff(pid[order])) + 1
     a, b = [], []
-    if left and right:
-        la, lb = len(left[0]), len(right[0])
-        cl, cr = _counts(left), _counts(right)
-        nl, nr = (cl * cl).sum(1), (cr * cr).sum(1)
-        wl, wr = _codes(left, la), _codes(right, lb)
-        for x in range(0, len(left), PART):
-            for y in range(x if same else 0, len(right), PART):
-                dist = nl[x:x + PART, None] + nr[None, y:y + PART] - 2.0 * (cl[x:x + PART] @ cr[y:y + PART].T)
-                cand = dist <= 2.0
-                if same and x == y:
-                    cand = np.triu(cand, 1)
-                i, j = np.nonzero(cand)
-                ok = _one_edit_many(wl[x + i], la, wr[y + j], lb)
-                a.extend(left[k] for k in x + i[ok])
-                b.extend(right[k] for k in y + j[ok])
+    for part in np.split(order, cuts):
+        if not len(part):
+            continue
+        sides = side[part]
+        if (sides == 2).any():
+            both = [words[k] for k in part]
+            _tile_pair(both, both, True, a, b)
+        else:
+            _tile_pair([words[k] for k in part[sides == 0]], [words[k] for k in part[sides == 1]],
+                       False, a, b)
     return pa.table({"word": pa.array(a, pa.string()), "other": pa.array(b, pa.string())})
 
 
@@ -186,30 +200,40 @@ def near_pairs(vocab: DataFrame) -> DataFrame:
     keys = ["len"] + [f"g{g}" for g in range(GROUPS - 1)]
     placed = vocab.select("word", *sig)
     blocks = stored(placed.groupBy(*keys).count(), "variants-blocks")
-    tiles = blocks.select(*keys, F.greatest(F.lit(1), F.ceil(F.col("count") / TILE)).cast("int").alias("t"))
+    tiles = blocks.select(*keys, F.greatest(F.lit(1), F.ceil(F.col("count") / TILE)).cast("int").alias("t"),
+                          "count")
     placed = placed.join(F.broadcast(tiles), keys).select(
         "word", *keys, F.pmod(F.xxhash64("word"), F.col("t")).cast("int").alias("tile"))
     # partner blocks by offsets of (len, g0, g1, ...); the last group's count follows from the length
     steps = F.array(*[F.struct(*[F.lit(v).alias(f"d{i}") for i, v in enumerate(o)]) for o in _OFFSETS])
-    mine = tiles.select(*keys, "t", F.explode(steps).alias("o"))
+    mine = tiles.select(*keys, "t", "count", F.explode(steps).alias("o"))
     partner = mine.select(
-        *[F.col(k).alias(f"a_{k}") for k in keys], F.col("t").alias("a_t"),
+        *[F.col(k).alias(f"a_{k}") for k in keys], F.col("t").alias("a_t"), F.col("count").alias("a_n"),
         *[(F.col(k) + F.col(f"o.d{i}")).alias(f"b_{k}") for i, k in enumerate(keys)],
         (sum(F.abs(F.col(f"o.d{i}")) for i in range(len(keys))) == 0),
-    ).toDF(*[f"a_{k}" for k in keys], "a_t", *[f"b_{k}" for k in keys], "diag")
-    other = tiles.select(*[F.col(k).alias(f"b_{k}") for k in keys], F.col("t").alias("b_t"))
+    ).toDF(*[f"a_{k}" for k in keys], "a_t", "a_n", *[f"b_{k}" for k in keys], "diag")
+    other = tiles.select(*[F.col(k).alias(f"b_{k}") for k in keys], F.col("t").alias("b_t"),
+                         F.col("count").alias("b_n"))
     block_pairs = partner.join(other, [f"b_{k}" for k in keys])
     pairs = stored(block_pairs.select(
         "*", F.explode(F.sequence(F.lit(0), F.col("a_t") - 1)).alias("i")).select(
         "*", F.explode(F.sequence(F.when(F.col("diag"), F.col("i")).otherwise(0), F.col("b_t") - 1)).alias("j")
-    ).drop("a_t", "b_t"), "variants-tilepairs")
+    ).withColumn("words", F.col("a_n") / F.col("a_t") + F.when(F.col("diag"), 0).otherwise(F.col("b_n") / F.col("b_t")))
+        .drop("a_t", "b_t", "a_n", "b_n").withColumn("pid", F.monotonically_increasing_id()),
+        "variants-tilepairs")
+    # Many small tile pairs share one group, so that a Python call has work enough; a group
+    # holds about GROUP_WORDS words, a tile pair at most 2 TILE.
+    total = pairs.agg(F.sum("words")).first()[0] or 0
+    groups = max(1, int(-(-total // GROUP_WORDS)))
     diag_tile = F.col("diag") & (F.col("i") == F.col("j"))
-    key = F.struct(*[f"a_{k}" for k in keys], "i", *[f"b_{k}" for k in keys], "j").alias("key")
+    bucket = F.pmod(F.xxhash64("pid"), F.lit(groups)).alias("bucket")
     left_on = [placed[k] == pairs[f"a_{k}"] for k in keys] + [placed["tile"] == pairs["i"]]
     right_on = [placed[k] == pairs[f"b_{k}"] for k in keys] + [placed["tile"] == pairs["j"]]
-    as_left = placed.join(pairs, left_on).select(key, "word", F.when(diag_tile, 2).otherwise(0).alias("side"))
-    as_right = placed.join(pairs, right_on).where(~diag_tile).select(key, "word", F.lit(1).alias("side"))
-    return as_left.unionByName(as_right).groupBy("key").applyInArrow(_tile_pair, _PAIRS)
+    as_left = placed.join(pairs, left_on).select(
+        bucket, "pid", "word", F.when(diag_tile, 2).otherwise(0).alias("side"))
+    as_right = placed.join(pairs, right_on).where(~diag_tile).select(
+        bucket, "pid", "word", F.lit(1).alias("side"))
+    return as_left.unionByName(as_right).groupBy("bucket").applyInArrow(_tile_pairs, _PAIRS)
 
 
 def variants(documents: DataFrame) -> DataFrame:

@@ -147,6 +147,10 @@ def _tile_pair(left: list[str], right: list[str], same: bool, a: list, b: list)
         return
     la, lb = len(left[0]), len(right[0])
     cl, cr = _counts(left), _counts(right)
+    # only letters that occur; single precision is exact while squared norms stay below 2**24
+    used = (cl.any(0) | cr.any(0))
+    kind = np.float32 if max(la, lb) <= 4096 else np.float64
+    cl, cr = cl[:, used].astype(kind), cr[:, used].astype(kind)
     nl, nr = (cl * cl).sum(1), (cr * cr).sum(1)
     wl, wr = _codes(left, la), _codes(right, lb)
     for x in range(0, len(left), PART):

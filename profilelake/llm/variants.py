@@ -43,7 +43,7 @@ PART = 2048
 #: Words of the tile pairs that share one Python call, about.
 GROUP_WORDS = 65536
 #: Letter groups of a block's key: the letter at place p of ``ALPHABET`` is in group p % GROUPS.
-GROUPS = 3
+GROUPS = 4
 _GROUP_LETTERS = ["".join(c for i, c in enumerate(ALPHABET) if i % GROUPS == g) for g in range(GROUPS)]
 
 

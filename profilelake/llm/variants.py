@@ -1,12 +1,13 @@
 """Spelling variants by blocked Gram matrices of letter counts.
 
 Two words one edit apart (one code point inserted, deleted or replaced) have letter-count vectors at
-squared distance 1 or 2 and lengths at most one apart. Words are grouped by length and each length
-cut into tiles of about ``TILE`` words by a hash; every tile meets every tile of its own length and
-of the next length once. In a tile pair the squared distances of all its words come from one NumPy
-matrix product, ``|a|^2 + |b|^2 - 2 a.b``; pairs at most two apart are verified by an exact edit test.
-No pair of words is ever a row before it is verified, and a length that holds most words is spread
-over many tiles and tasks.
+squared distance 1 or 2 and lengths at most one apart. Words are grouped in blocks by length and by
+the counts of letters in ``GROUPS`` fixed groups of the alphabet; a block meets only the blocks
+that can hold a word one edit away (see ``near_pairs``). A big block is cut into tiles of about
+``TILE`` words by a hash. In a tile pair the squared distances of all its words come from NumPy
+matrix products, ``|a|^2 + |b|^2 - 2 a.b``; pairs at most two apart are verified by an exact edit
+test. No pair of words is ever a row before it is verified, and a block that holds most words is
+spread over many tiles and tasks.
 
 Fixed by the contract: runs ``[A-Za-z\\u00C0-\\u00FF]+``, lower case for A-Z only, the deletion of
 code point ``h % length`` where 31 divides ``h = crc32("<doc_id>:<run>")``, words of at least 7 code

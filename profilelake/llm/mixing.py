@@ -48,7 +48,8 @@ def source_targets(sizes: DataFrame, repeats: int = REPEATS) -> DataFrame:
     # sources up to a level are full if the others, at that level, do not reach the total
     full = (
         upto.select("level", F.sum("c").over(order).alias("cap"), F.sum("w").over(order).alias("w"))
-        .where(f"w < {weights or 0} and 6 * cap + level * ({weights or 0} - w) <= 6 * {total or 0}")
+        # a total without the L is an int, and six of it pass the largest int from 358 million words on
+        .where(f"w < {weights or 0} and 6 * cap + level * ({weights or 0} - w) <= 6L * {total or 0}L")
         .agg(F.max(F.struct("level", "cap", "w")).alias("s")).select("s.*").first()
     )
     top, cap, weight = full if full["level"] is not None else (-1, 0, 0)

@@ -66,6 +66,17 @@ def test_mixing_meets_targets(spark, sf_dir):
     assert abs(sum(target.values()) - sum(r.size for r in rows)) < 1e-3
 
 
+@pytest.mark.parametrize("words", [10**9, 4 * 10**11])
+def test_source_targets_of_large_tables(spark, words):
+    """Six times the words of a table of some GB are more than an int holds."""
+    sizes = spark.createDataFrame([("a", words), ("b", words), ("c", words // 100)], "source string, size long")
+    found = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
+    total = 2 * words + words // 100
+    assert found["c"] == 3 * (words // 100)
+    assert found["b"] == pytest.approx(2 * found["a"])
+    assert sum(found.values()) == pytest.approx(total)
+
+
 def test_mixing_edges(spark, docs_of):
     rows = [(1, "a b", None), (1, "a b", None), (2, None, "x"), (3, "", "y"), (4, "w " * 5000, "x"), (None, "a", "y")]
     found = mixing.mixed(docs_of(rows)).collect()

@@ -65,6 +65,28 @@ def test_hard_negatives_tiles_split(spark, monkeypatch):
     assert got == sorted(hardneg.brute_force(_float32(rows)))
 
 
+def test_hard_negatives_of_rows_that_share_or_lack_an_id(spark):
+    """Another row of the anchor's id, and a row without one, take part as any other row does."""
+    rows = [(0, [1.0, 0.0], 4), (0, [1.0, 0.0], 4), (0, [0.5, 0.25], 7), (1, [0.75, 0.0], 5),
+            (None, [0.75, 0.5], 3), (None, [0.625, 0.0], 6), (2, [0.375, 0.0], 8)]
+    # id 0 moves to label 5 and 8; each of the first two rows is the other's first positive
+    once = [
+        (0, 0, 1, None, 65536, 49152), (0, 0, 2, None, 65536, 40960), (0, 0, 3, 0, 65536, 32768),
+        (0, 0, 4, 2, 65536, 24576), (0, 1, 1, None, 49152, 40960), (0, 1, 2, 0, 49152, 32768),
+        (0, 1, 3, 2, 49152, 24576)]
+    got = hardneg.mine(spark.createDataFrame([(*r, "x", 1) for r in rows], EMB)).collect()
+    assert sorted(map(tuple, got), key=lambda r: r[:3]) == sorted(once * 2, key=lambda r: r[:3])
+
+
+def test_hard_negatives_of_large_scores(spark):
+    """A hundred times these scores is more than a long holds."""
+    rows = [(i, [x * 2.0**22], c) for i, x, c in [
+        (100, 1.0, 1), (1, 1.0, 1), (2, 0.875, 2), (3, 0.5, 2), (4, 0.25, 2), (5, 1.0, 2)]]
+    got = hardneg.mine(spark.createDataFrame([(*r, "x", 1) for r in rows], EMB)).collect()
+    assert sorted(map(tuple, got)) == sorted(hardneg.brute_force(rows))
+    assert [r.negative_id for r in sorted(got, key=lambda r: r.rank)] == [2, 3]
+
+
 def test_hard_negatives_query(spark, sf_dir):
     import pyarrow.parquet as pq
     got = sorted(map(tuple, queries.op11_hard_negatives(spark, sf_dir).collect()))

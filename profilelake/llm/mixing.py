@@ -172,19 +172,22 @@ def mixed(docs: DataFrame, *more: Column, block: int = BLOCK, repeats: int = REP
     )
 
 
-def mix(docs: DataFrame, repeats: int = REPEATS) -> DataFrame:
-    """``docs`` as the mix takes them: each row as often as its words were taken, to the nearest.
-
-    A source gives all its words as often as its target holds them, and then the first of them,
-    in the order of ``mixed``, up to the target. Slots only order a mix and their blocks would
-    leave small sources off their targets, so none are used here. One document of a source is
-    taken in part, so a source is off its target by half of that document at most. Rows without
-    words are not taken. All columns are kept; rows of one id and text count together and repeat
-    the first of them.
+def mix(docs: DataFrame, block: int = BLOCK, repeats: int = REPEATS) -> DataFrame:
+    """``docs`` as the mix takes them, in the order of its slots: each row as often as its words
+    were taken, to the nearest.
+
+    The slots of a source read its words in the order of ``mixed``, ``block`` at a time, again and
+    again, until its target is reached: all its words as often as the target holds them, and then
+    the first of them. A copy of a row stands in the slot that reads its first word. Points may give
+    a source some slots more or less than its target fills: those left over stay empty, and what
+    is still short, as with sources of less than a block, stands after the last slot. So one
+    document of a source is taken in part, and a source is off its target by half of it at most.
+    Rows without words are not taken. All columns are kept; rows of one id and text count together
+    and repeat the first of them.
     """
     row_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
     row_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    placed, _ = _in_place(docs, row_id.alias("_id"), row_hash.alias("_hash"), repeats=repeats)
+    placed, targets = _in_place(docs, row_id.alias("_id"), row_hash.alias("_hash"), repeats=repeats)
     whole = F.expr("cast(round(target) as long) div source_size")
     rest = F.expr("cast(round(target) as long) % source_size")
     times = (
@@ -192,12 +195,21 @@ def mix(docs: DataFrame, repeats: int = REPEATS) -> DataFrame:
         .withColumn("taken", F.col("size") * whole + F.greatest(
             F.least(F.col("size"), rest - F.col("_start")), F.lit(0)))
         .groupBy("_id", "_hash").agg(
-            F.floor(F.sum("taken") / F.first("size") + 0.5).cast("int").alias("_times"))
+            F.floor(F.sum("taken") / F.first("size") + 0.5).cast("int").alias("_times"),
+            F.min(F.struct("source_no", "_start", "source_size")).alias("_first"))
         .where("_times > 0")
     )
+    # the place of a copy's first word among all that the slots of its source read
+    copies = times.select("_id", "_hash", "_first.*", F.explode(F.expr("sequence(0, _times - 1)")).alias("_turn")
+                          ).withColumn("_place", F.expr("_turn * source_size + _start"))
+    slots = schedule(targets, block, repeats).select(
+        F.col("source_no").alias("_no"), F.col("rank").alias("_rank"), F.col("slot").alias("_slot"))
+    ordered = copies.select(
+        "_id", "_hash", F.col("source_no").alias("_no"), "_place", F.expr(f"_place div {block}").alias("_rank")
+    ).join(slots, ["_no", "_rank"], "left")
     return (
         docs.withColumns({"_id": row_id, "_hash": row_hash}).dropDuplicates(["_id", "_hash"])
-        .join(times, ["_id", "_hash"])
-        .withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-        .select(*[docs[c] for c in docs.columns])
+        .join(ordered, ["_id", "_hash"])
+        .orderBy(F.asc_nulls_last("_slot"), "_no", "_place")
+        .select(*docs.columns)
     )

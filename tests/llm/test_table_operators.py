@@ -87,6 +87,23 @@ def test_mixing_edges(spark, docs_of):
     assert mixing.mix(docs_of(rows)).columns == docs_of(rows).columns
 
 
+def test_mix_stands_in_the_order_of_the_schedule(spark, docs_of):
+    """Documents of a block each: the mix has the sources in the order of the golden-ratio slots."""
+    rows = [(i, f"w{i} " * mixing.BLOCK, "abc"[i % 3]) for i in range(120)]
+    docs = docs_of(rows)
+    found = [r.source for r in mixing.mix(docs).collect()]
+    target = {r.source: r.target for r in mixing.mixed(docs).collect()}
+    assert target == {"a": 5120.0, "b": 10240.0, "c": 15360.0}  # weights 1, 2 and 3
+    number = spark.createDataFrame(
+        [(n, 40 * mixing.BLOCK, target[s]) for n, s in enumerate("abc", 1)],
+        "source_no int, source_size long, target double")
+    slots = mixing.schedule(number).orderBy("slot").collect()
+    taken = {s: found.count(s) for s in "abc"}
+    wanted = ["abc"[r.source_no - 1] for r in slots if r["rank"] < taken["abc"[r.source_no - 1]]]
+    assert len(slots) == 120 and taken == {"a": 20, "b": 40, "c": 60}
+    assert found[:len(wanted)] == wanted and len(wanted) > 115
+
+
 def test_mix_meets_targets_of_small_sources(spark, docs_of):
     rng = np.random.default_rng(4)
     rows = []

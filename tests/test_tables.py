@@ -32,6 +32,47 @@ def test_latest_rows(spark):
         ("a", "y"), ("b", "w")}
 
 
+def test_few_shared_keys_are_folded_apart(spark, monkeypatch):
+    df = spark.createDataFrame(
+        [(f"k{i}", i, "lone") for i in range(200)] + [(None, 1, "x"), (None, 2, "y")]
+        + [("hot", i, f"h{i}") for i in range(90)] + [("k3", 9, "later"), ("k3", 9, "later")],
+        "k string, v int, o string").repartition(6)
+
+    def newest(rows):
+        return tables.latest_rows(rows, ["k"], ["v", "o"])
+
+    want = sorted(map(repr, newest(df).collect()))
+    for part in (0.1, 0.0):  # folded apart, and all rows at once
+        monkeypatch.setattr(tables, "SHARED_PART", part)
+        got = tables.fold_shared(df, ["k"], newest)
+        assert got.columns == df.columns
+        assert sorted(map(repr, got.collect())) == want
+        assert ("Union" in got._jdf.queryExecution().toString()) == (part > 0)
+    assert tables.fold_shared(df.limit(0), ["k"], newest).collect() == []
+
+
+def test_rows_without_a_partner_are_not_ranked(spark):
+    bronze = raw(spark).unionByName(raw(spark, cycle_number=2.0))
+    lone = ingest.one_per_id(normalize(bronze))
+    assert lone.count() == 2
+    plan = lone._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan
+
+
+def test_first_delivery_is_written_once(spark):
+    store = ingest.Store(spark, fresh_path(spark, "first"))
+    bronze = raw(spark).unionByName(raw(spark, source_file="SD1.nc")).unionByName(
+        raw(spark, source_file="R0.nc", project_name="earlier name"))
+    run = ingest.ingest(store, bronze)
+    report = {r.measure: r["rows"] for r in ingest.run_report(store, run).collect()}
+    assert (report["written_profiles"], report["written_bgc_profiles"]) == (1, 1)
+    assert (report["stored_profiles"], report["stored_bgc_profiles"]) == (1, 1)
+    staged = ingest.read_staged(store, *[f"{store.path('staged')}/{run}"] * 2)
+    # the profiles lie in their tables; the folder of the run names them
+    assert [r.n for r in staged.selectExpr("count(profile_id) - count(source_file) as n").collect()] == [2]
+    assert store.read("profiles").first().source_file == "R0.nc"
+
+
 def test_upsert_twice_is_once(spark, sf_dir):
     store = ingest.Store(spark, fresh_path(spark, "twice"))
     profiles = core_profiles(normalize(fixtures.bronze(spark, sf_dir)))

@@ -17,6 +17,7 @@ to any store and a lost task leaves nothing behind:
 from __future__ import annotations
 
 import functools
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,6 +72,7 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
         self.words: dict[str, bytes] = {}
         mark = self._encode(_MARK)
         self.mark = mark[0] if len(mark) == 1 else None
@@ -93,16 +95,23 @@ class Encoder:
         Such a word is normal already but for its case, and the tokenizer cuts it before the mark.
         """
         stem = word.lower()
-        mark = stem[-1:] if stem[-1:] in MARKS else ""
-        stem = stem.removesuffix(mark)
-        if not stem.isalpha() or max(stem) > "\xff":
+        mark = stem[-1:]
+        if mark in MARKS:
+            stem = stem[:-1]
+        else:
+            mark = ""
+        if not stem.isalpha():
             return None
+        shown = stem
+        if not stem.isascii():
+            if max(stem) > "\xff":
+                return None
+            shown = stem.encode().decode("latin-1").translate(BYTE_CHARACTERS)
         ids = self.words.get(stem) if mark or stem != word else None
         if ids is None:
-            found = self.tokenizer.model.tokenize(
-                stem.encode().decode("latin-1").translate(BYTE_CHARACTERS))
-            ids = self.words[stem] = np.array([t.id for t in found], np.uint32).tobytes()
-        return ids + self.marks[mark]
+            found = self.tokenize(shown)
+            ids = self.words[stem] = array("I", [t.id for t in found]).tobytes()
+        return ids + self.marks[mark] if mark else ids
 
     def _learn(self, new: list[str]) -> None:
         rest = []

@@ -107,3 +107,22 @@ def test_geo_point_and_iso(spark):
     assert got[0].lon == 1.0 and got[0].lat == 0.0 and got[1] is None
     rows = [datetime(2003, 1, 10, 19, 30, 3), None]
     assert values(spark, "x timestamp_ntz", rows, cl.iso_date("x")) == ["2003-01-10T19:30:03Z", None]
+
+
+def test_clean_cell_is_clean_text(spark):
+    rows = ["  a b ", "\x00\x00", "", " ", None, "\t x\x00\n", "a\x00b", " z ", "\x1cq\x1f", "　",
+            " é ", "\x85y", "a "]
+    expected = values(spark, "x string", rows, cl.clean_text("x"))
+    assert values(spark, "x string", rows, cl.clean_cell("x")) == expected
+    assert values(spark, "x array<string>", [rows, None], cl.clean_text_array("x")) == [expected, None]
+    # inside a lambda the text is stripped once, by the short list if it is ASCII
+    assert cl.clean_cell("x").count("trim(") == 2 and "nullif" not in cl.clean_text_array("x")
+
+
+def test_datetime_cell_is_parse_datetime14(spark):
+    rows = ["20040229123456", "20040230000000", "2004", "2004-01-01", " 20040101000000xyz", None, "",
+            "20040101000000\nrest", "x20040101000000", "2004010100000", "T12:00:00"]
+    first = datetime(2004, 1, 1)
+    expected = [datetime(2004, 2, 29, 12, 34, 56), None, None, None, first, None, None, first, None, None, None]
+    assert values(spark, "x string", rows, cl.parse_datetime14("x")) == expected
+    assert values(spark, "x string", rows, cl.parse_datetime14_cell("x")) == expected

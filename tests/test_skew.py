@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from profilelake.operators import lookup, rollup, series
 
@@ -65,3 +66,25 @@ def test_repeated_requests_for_one_profile(spark, skewed):
     got = lookup.lookup_profiles(df, df.limit(0), wanted, ["platform_number"])
     assert got.where("requested_id = 'hot_3'").count() == 5000
     assert got.where("requested_id <> 'hot_3'").count() == 2
+
+
+def test_orders_are_dealt_evenly_whatever_the_row_groups(spark, tmp_path):
+    """One row group in many splits: all rows used to be cleaned in the one task that holds it."""
+    import pyarrow.parquet as pq
+
+    from profilelake.sources import fixtures
+
+    orders = pq.read_table("/root/testdata/sf0.001/orders.parquet")
+    pq.write_table(orders, tmp_path / "orders.parquet", row_group_size=len(orders))
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for n in names:
+            spark.conf.set(n, "1024")
+        rows = fixtures.bronze(spark, str(tmp_path))
+        sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == fixtures.bronze(spark, "/root/testdata/sf0.001").count()
+        assert max(sizes) < 2 * len(orders) / spark.sparkContext.defaultParallelism
+    finally:
+        for n, value in zip(names, before):
+            spark.conf.set(n, value)

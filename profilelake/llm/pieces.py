@@ -4,8 +4,9 @@ The model's normaliser is the identity with a leading marker: a non-empty text b
 text`` with every space turned into ``"▁"`` (U+2581). No piece of the model holds a marker after
 any other character, so no piece crosses the point before a marker that follows another
 character. The normalised text is cut there, in Spark, into chunks (a run of markers and the
-characters up to the next marker); each distinct chunk is encoded once, by a processor of the same
-model that adds no marker of its own, and the ids are joined back to every occurrence by position.
+characters up to the next marker); each distinct chunk of a group of rows is encoded once, by a
+processor of the same model that adds no marker of its own, and the ids go back to every
+occurrence by position.
 The ids of a document are its chunks' ids in order; the library's ``decode`` turns them back into
 text.
 
@@ -17,19 +18,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from profilelake.llm.common import stored
+from profilelake.llm.common import arrow_limits
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Consecutive rows of a scan partition that form one group and share one chunk table.
 GROUP = 1024
+#: Chunks a task keeps from earlier groups, and the length up to which it does.
+KNOWN, KNOWN_LENGTH = 100_000, 24
 
 
 def _path(model: str) -> str:
@@ -73,87 +76,72 @@ def normalized(text) -> F.Column:
     return F.when(t == "", F.lit("")).otherwise(F.concat(F.lit(MARK), F.translate(t, " ", MARK)))
 
 
-def _encoder(model: str):
+def _flat(chunks: pa.Array, known: dict, plain) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a group's chunks in a row, and how many each chunk has.
+
+    The chunks are dictionary-encoded (Arrow); each distinct one is encoded once and its ids are
+    gathered by position with NumPy. ``known`` holds short chunks of earlier groups, at most
+    ``KNOWN``.
+    """
+    if not len(chunks):
+        return np.zeros(0, np.int32), np.zeros(0, np.int64)
+    table = chunks.dictionary_encode()
+    distinct = table.dictionary.to_pylist()
+    lists = [known.get(c) for c in distinct]
+    new = [i for i, ids in enumerate(lists) if ids is None]
+    for i, ids in zip(new, plain.encode([distinct[i] for i in new], num_threads=1) if new else []):
+        lists[i] = ids
+        if len(known) < KNOWN and len(distinct[i]) <= KNOWN_LENGTH:
+            known[distinct[i]] = ids
+    widths = np.fromiter(map(len, lists), np.int64, len(lists))
+    all_ids = np.fromiter(chain.from_iterable(lists), np.int32, int(widths.sum()))
+    offsets = np.cumsum(widths) - widths
+    row = table.indices.to_numpy(zero_copy_only=False)
+    lengths = widths[row]
+    firsts = np.cumsum(lengths) - lengths
+    return all_ids[np.repeat(offsets[row] - firsts, lengths) + np.arange(int(lengths.sum()))], lengths
+
+
+def _groups(model: str):
+    """Batches of ``doc_id, chunks``, each a group of its own, to ``doc_id, ids, decoded``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, plain = processors(model)
+        full, plain = processors(model)
+        known: dict[str, list[int]] = {}
         for batch in batches:
-            chunks = batch.column("chunk").to_pylist()
-            ids = plain.encode(chunks, num_threads=1) if chunks else []
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("chunk"), pa.array(ids, pa.list_(pa.int32()))], names=["chunk", "ids"])
+            for at in range(0, batch.num_rows, GROUP):
+                docs = batch.slice(at, GROUP)
+                chunks = docs.column("chunks")
+                flat, lengths = _flat(chunks.flatten(), known, plain)
+                per_doc = chunks.value_lengths().to_numpy(zero_copy_only=False)
+                ends = np.concatenate(([0], np.cumsum(lengths)))
+                bounds = ends[np.concatenate(([0], np.cumsum(per_doc)))].astype(np.int32)
+                texts = full.decode([flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])])
+                yield pa.RecordBatch.from_arrays(
+                    [docs.column("doc_id"), pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
+                     pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
     return run
 
 
-def _gather(docs: pa.Table, table: pa.Table, model: str) -> pa.Table:
-    """Ids and decoded text of a group's documents, from the group's chunk table.
-
-    Tokens are dictionary-encoded (Arrow), their distinct chunks looked up in the table, and
-    the ids gathered by position with NumPy; only decoding runs per document, in the library.
-    """
-    full, _ = processors(model)
-    chunks = docs["chunks"].combine_chunks()
-    per_doc = chunks.value_lengths().to_numpy(zero_copy_only=False)
-    tokens = chunks.flatten()
-    if len(tokens):
-        encoded = tokens.dictionary_encode()
-        found = pc.index_in(encoded.dictionary, value_set=table["chunk"].combine_chunks()).to_numpy(
-            zero_copy_only=False)
-        if (found < 0).any():
-            raise ValueError("a chunk is missing from its group's table")
-        lists = table["ids"].combine_chunks()
-        all_ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
-        offsets = lists.offsets.to_numpy()[:-1].astype(np.int64)
-        widths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        row = found[encoded.indices.to_numpy(zero_copy_only=False)]
-        lengths = widths[row]
-        total = int(lengths.sum())
-        firsts = np.cumsum(lengths) - lengths
-        flat = all_ids[np.repeat(offsets[row] - firsts, lengths) + np.arange(total)]
-        token_end = np.cumsum(lengths)
-        doc_end = np.cumsum(per_doc)
-        ends = np.where(doc_end > 0, token_end[np.maximum(doc_end - 1, 0)], 0)
-    else:
-        flat = np.zeros(0, np.int32)
-        ends = np.zeros(len(per_doc), np.int64)
-    bounds = np.r_[0, ends].astype(np.int32)
-    texts = full.decode([flat[bounds[i]:bounds[i + 1]].tolist() for i in range(len(per_doc))]) \
-        if len(per_doc) else []
-    return pa.table({
-        "doc_id": docs["doc_id"], "ids": pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
-        "decoded": pa.array(texts, pa.string()),
-    })
-
-
 def encoded(documents: DataFrame, model: str = MODEL) -> DataFrame:
     """``doc_id, ids, decoded``: each document row's ids, as the library encodes its whole text,
     and the library's decoding of them.
 
-    Documents are grouped where they are read: a group is ``GROUP`` consecutive rows of one
-    scan partition, so no group is larger than that, hot or not. Spark takes the distinct
-    (group, chunk) pairs, combining in each task first; the distinct chunks of all groups are
-    encoded once, in a table joined back to the pairs by chunk (a chunk has at most one row per
-    group, so a frequent one does not load a task); each group then meets its own chunk table.
-    Null and empty texts give no ids. Repeated rows are encoded each. Only ``doc_id`` and
-    ``text`` are read.
+    Spark normalises and cuts the texts. Documents are grouped where they are read: a group is
+    at most ``GROUP`` consecutive rows of one scan partition, less where an Arrow batch is full
+    by bytes, and has a table of its distinct chunks, each encoded once. A table of all chunks
+    would have to reach every group by a shuffle of the (group, chunk) pairs and of the
+    documents, five times the input; a group's own table needs none, and a frequent chunk
+    loads no task. Null and empty texts give no ids. Repeated rows are encoded each. Only
+    ``doc_id`` and ``text`` are read.
     """
     if pieces_cross_markers(model):
         raise ValueError(f"{model}: pieces cross markers; chunks cannot be encoded apart")
-    row_in_part = F.monotonically_increasing_id() % F.lit(1 << 33)
+    arrow_limits(documents.sparkSession)
     docs = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.split(normalized(F.col("text")), f"(?<=[^{MARK}])(?={MARK})").alias("c"),
-        (F.spark_partition_id().cast("long") * F.lit(1 << 31) + F.floor(row_in_part / GROUP)).alias("g"),
-    ).select("doc_id", "g", F.filter("c", lambda x: F.length(x) > 0).alias("chunks"))
-    pairs = stored(docs.select("g", F.explode("chunks").alias("chunk")).distinct(), "pieces-pairs")
-    vocab = stored(pairs.select("chunk").distinct().mapInArrow(
-        _encoder(model), "chunk string, ids array<int>"), "pieces-vocab")
-    table = pairs.join(vocab, "chunk")
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _gather(left, right, model)
-
-    return docs.groupBy("g").cogroup(table.groupBy("g")).applyInArrow(
-        run, "doc_id long, ids array<int>, decoded string")
+    ).select("doc_id", F.filter("c", lambda x: F.length(x) > 0).alias("chunks"))
+    return docs.mapInArrow(_groups(model), "doc_id long, ids array<int>, decoded string")
 
 
 def report(documents: DataFrame, model: str = MODEL) -> DataFrame:

@@ -184,3 +184,13 @@ def test_pieces_small_groups(spark, docs_of, monkeypatch):
 def test_pieces_query(spark, sf_dir, documents):
     got = sorted(map(tuple, queries.op13_sentencepiece(spark, sf_dir).collect()))
     assert got == sorted(_digests([(r.doc_id, r.text) for r in documents.collect()]))
+
+
+def test_pieces_shuffle_nothing_and_keep_few_chunks(spark, docs_of, monkeypatch):
+    """Groups encode their own chunks: no exchange; a full memory of chunks changes no result."""
+    rows = [(i, " ".join(f"w{(i * j) % 97}é" for j in range(i % 40)) + " ▁ x" * (i % 3)) for i in range(300)]
+    monkeypatch.setattr(pieces, "GROUP", 7)
+    monkeypatch.setattr(pieces, "KNOWN", 5)
+    out = pieces.report(docs_of(rows))
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, out.collect())) == sorted(_digests(rows))

@@ -17,6 +17,8 @@ to any store and a lost task leaves nothing behind:
 from __future__ import annotations
 
 import functools
+import itertools
+import zlib
 from array import array
 from collections.abc import Iterator
 
@@ -38,7 +40,7 @@ END = 2
 LEVEL = 3
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a task remembers at most, and separator between words encoded together.
-_MEMORY = 400_000
+_MEMORY = 700_000
 _MARK = "\x01"
 _TOGETHER = 64
 #: Marks that end a word and are cut off it whatever comes before.
@@ -61,6 +63,7 @@ BLOCKS = (
 )
 INDEX = "shard int, block int, start long, n_ids int, plane_bytes array<int>"
 PIECES = "shard int, block int, doc long, doc_id long, at int, whole boolean, ids binary"
+DIGESTS = PIECES.replace("ids binary", "n_tokens long, ids_crc32 long, ids binary")
 
 
 class Encoder:
@@ -254,36 +257,49 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, block: int =
     ).write.parquet(f"{path}/index")
 
 
-def _decode(bits: bool):
+def _decode(bits: bool, digest: bool = False):
+    """Pieces of the blocks; with ``digest`` a piece has the number and the crc32 of its ids, and
+    the ids themselves only where it is not the whole document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor().decompress
         for row in (r for batch in batches for r in batch.to_pylist()):
             cuts = np.cumsum([0, *row["plane_bytes"]])
             planes = [expand(row["payload"][a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
-            raw = from_planes(planes, row["n_ids"], bits).tobytes()
+            raw = memoryview(from_planes(planes, row["n_ids"], bits).tobytes())
             at = np.cumsum([0, *row["doc_lens"]])
             n = len(row["doc_lens"])
             whole = np.ones(n, bool)
             whole[0] &= not row["opened"]
             whole[-1] &= row["ends"]
-            yield pa.RecordBatch.from_pydict({
+            ids = [raw[a:b] for a, b in itertools.pairwise((4 * at).tolist())]
+            columns = {
                 "shard": pa.array([row["shard"]] * n, pa.int32()),
                 "block": pa.array([row["block"]] * n, pa.int32()),
                 "doc": pa.array(range(row["first_doc"], row["first_doc"] + n), pa.int64()),
                 "doc_id": pa.array(row["doc_ids"], pa.int64()),
                 "at": pa.array(at[:-1], pa.int32()),
                 "whole": pa.array(whole),
-                "ids": pa.array([raw[4 * a: 4 * b] for a, b in zip(at[:-1], at[1:])], pa.binary()),
-            })
+            }
+            if digest:
+                columns |= {
+                    "n_tokens": pa.array(np.diff(at), pa.int64()),
+                    "ids_crc32": pa.array([zlib.crc32(x) for x in ids], pa.int64()),
+                }
+                ids = [None if w else x for w, x in zip(whole.tolist(), ids)]
+            columns["ids"] = pa.array([x if x is None else bytes(x) for x in ids], pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
 
+def _blocks(spark: SparkSession, path: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    return spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
+
+
 def pieces(spark: SparkSession, path: str, bits: bool = False) -> DataFrame:
     """What each block has of each of its documents: where it begins (``at``), and its ids."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
-    blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
-    return blocks.mapInArrow(_decode(bits), PIECES)
+    return _blocks(spark, path).mapInArrow(_decode(bits), PIECES)
 
 
 @F.pandas_udf(T.BinaryType())
@@ -318,11 +334,7 @@ def report(spark: SparkSession, path: str, bits: bool = False) -> DataFrame:
     Documents within one block are digested where the block is decoded; only the ids of those
     that cross an edge are moved.
     """
-    found = stored(pieces(spark, path, bits).select(
-        "shard", "block", "doc", "doc_id", "at", "whole",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.crc32("ids").alias("ids_crc32"), F.when(~F.col("whole"), F.col("ids")).alias("ids"),
-    ), "bitplane-pieces")
+    found = stored(_blocks(spark, path).mapInArrow(_decode(bits, digest=True), DIGESTS), "bitplane-pieces")
     crossing = _whole(found.where("not whole").select("shard", "block", "doc", "doc_id", "at", "ids"))
     names = ["shard", "block", "at", "doc_id", "n_tokens", "ids_crc32"]
     all_docs = found.where("whole").select(*names).unionByName(crossing.select(

@@ -53,6 +53,20 @@ def test_token_files_with_small_blocks(spark, docs_of, bits):
     assert bitplanes.report(spark, empty).count() == 0
 
 
+def test_bitplanes_digests_are_made_where_blocks_are_decoded(spark, docs_of, tmp_path):
+    """The ids of a document that lies within one block do not leave the task that decodes it."""
+    rows = [(i, "word " * (i % 9)) for i in range(30)]
+    path = str(tmp_path / "files")
+    bitplanes.write(docs_of(rows), path, block=16)
+    found = bitplanes._blocks(spark, path).mapInArrow(
+        bitplanes._decode(False, digest=True), bitplanes.DIGESTS).collect()
+    assert {r.whole for r in found} == {True, False}
+    assert all((r.ids is None) == r.whole for r in found)
+    assert all(r.whole or (r.n_tokens, r.ids_crc32) == (len(r.ids) // 4, zlib.crc32(r.ids)) for r in found)
+    whole = {r.doc_id: (r.start, len(r.ids) // 4, zlib.crc32(r.ids)) for r in bitplanes.read(spark, path).collect()}
+    assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in bitplanes.report(spark, path).collect()} == whole
+
+
 def test_mixing_meets_targets(spark, sf_dir):
     rows = queries.op5_mixing(spark, sf_dir).join(
         spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source"), "doc_id").collect()

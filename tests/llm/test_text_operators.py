@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from profilelake.llm import brown, decontaminate, pii, queries, simhash, toxicity
+from profilelake.llm import brown, decontaminate, jaccard, pii, queries, simhash, toxicity
 
 LONG = "word " * 30_000
 
@@ -349,6 +349,60 @@ def test_keep_one_matches_brute_force_jaccard(spark, docs_of):
     assert sorted(r.doc_id for r in simhash.keep_one(docs_of(rows)).collect()) == sorted(least.values())
 
 
+def test_jaccard_bucket_of_unlike_sets_makes_no_pair_rows(spark, monkeypatch):
+    """A group whose members meet but are hardly linked: every link counts, no pair is a row."""
+    rng = np.random.default_rng(5)
+    base = [f"w{x}" for x in rng.integers(0, 5000, 200)]
+    texts = []
+    for i in range(150):
+        words = list(base)
+        for at in rng.integers(0, 200, 12):
+            words[at] = f"v{rng.integers(0, 10**6)}"
+        texts.append(" ".join(words))
+        if i % 3 == 0:  # a link far from the ends of the bucket, in chains of up to three
+            for _ in range(rng.integers(1, 3)):
+                words[rng.integers(0, 200)] = f"u{rng.integers(0, 10**6)}"
+                texts.append(" ".join(words))
+    sets = [set(jaccard.shingles(t.encode(), 5)) for t in texts]
+    group = list(range(len(texts)))
+    for i, s in enumerate(sets):
+        for j in range(i):
+            if len(s & sets[j]) >= 0.8 * len(s | sets[j]):
+                group = [group[i] if g == group[j] else g for g in group]
+    wanted = {frozenset(i for i, g in enumerate(group) if g == x) for x in group}
+    assert 50 < len(wanted) < 160
+
+    rows = []
+    stored = jaccard.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    monkeypatch.setattr(jaccard, "TILE", 40, raising=False)
+    frame = spark.createDataFrame([(i, [7, i], t) for i, t in enumerate(texts)],
+                                  "set_id long, keys array<long>, text string")
+    found = [tuple(r) for r in jaccard.links(frame.select("set_id", "keys"), frame.select("set_id", "text")).collect()]
+    part = list(range(len(texts)))
+    for u, v in found:
+        assert len(sets[u] & sets[v]) >= 0.8 * len(sets[u] | sets[v])
+        part = [part[u] if g == part[v] else g for g in part]
+    assert {frozenset(i for i, g in enumerate(part) if g == x) for x in part} == wanted
+    assert max(rows) <= 2 * len(texts) * (1 + len(texts) // 40)  # all pairs: some 20,000
+
+
+def test_jaccard_counts_shared_hashes(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(0, 50)).astype(np.uint64)) for _ in range(30)]
+    for block in (4096, 7):
+        monkeypatch.setattr(jaccard, "_BLOCK", block)
+        assert jaccard.common(sets[:12], sets[12:]).tolist() == [
+            [len(np.intersect1d(a, b)) for b in sets[12:]] for a in sets[:12]]
+    assert jaccard.common(sets[:2], [np.array([], np.uint64)]).tolist() == [[0], [0]]
+
+
 def test_simhash_links_match_all_pairs(spark):
     rng = np.random.default_rng(8)
     centres = rng.integers(0, 2**63, 20, dtype=np.uint64)

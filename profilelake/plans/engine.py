@@ -89,13 +89,13 @@ class Engine:
         """Nearest documents of a collection; an empty one gives no rows."""
         corpus = self.documents.where(F.col("collection") == collection)
         queries = vectors.text_queries(self.store.spark, [text], self.make_model)
-        hits = vectors.semantic_search(corpus, queries, n, where, contains)
+        hits = vectors.semantic_search(corpus, queries, n, where, contains, few=True)
         return vectors.with_documents(hits, corpus, ["id"])
 
     def query_all(self, text: str, n: int = 5, where: dict | Column | None = None) -> DataFrame:
         corpus = self.documents
         queries = vectors.text_queries(self.store.spark, [text], self.make_model)
-        hits = vectors.search_all(corpus, queries, n, where)
+        hits = vectors.search_all(corpus, queries, n, where, few=True)
         return vectors.with_documents(hits, corpus, ["collection", "id"])
 
     def get_stats(self) -> DataFrame:

@@ -63,7 +63,7 @@ def nearest_floats(
 
 
 #: Levels of the grid below the cells of the search radius.
-LEVELS = 2
+LEVELS = 4
 
 
 def _cells_to_search(
